@@ -1,0 +1,4 @@
+"""Intentionally empty: the capabilities rebuilt here are batch full refreshes.
+
+There is no streaming source, state or sink to reproduce, so none is invented.
+"""
