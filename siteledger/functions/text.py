@@ -36,6 +36,19 @@ def map_codes(value: ColumnOrName, mapping: Mapping[str, str]) -> Column:
     return _lookup(normal_key(value), mapping, F.upper(F.trim(as_col(value))))
 
 
+def title_case(value: ColumnOrName) -> Column:
+    """Capitalise every run of letters or digits, whatever separates them.
+
+    Spark's ``initcap`` starts a word after whitespace only, so labels with other
+    separators are rebuilt run by run.
+    """
+    text = as_col(value)
+    runs = F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"), F.lit(1))
+    rebuilt = F.array_join(F.transform(runs, lambda run: F.concat(
+        F.upper(F.substring(run, 1, 1)), F.substring(run, 2, 1_000_000))), "")
+    return F.when(text.rlike(r"[^\p{L}\p{N}\s]"), rebuilt).otherwise(F.initcap(text))
+
+
 def title_label(value: ColumnOrName, exceptions: Mapping[str, str] | None = None) -> Column:
     """Title-case a label; ``exceptions`` maps any-case input to its fixed spelling."""
-    return _lookup(normal_key(value), exceptions or {}, F.initcap(F.trim(as_col(value))))
+    return _lookup(normal_key(value), exceptions or {}, title_case(F.trim(as_col(value))))

@@ -204,7 +204,7 @@ def a09b_tied_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unit_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price per piece of every line, with item attributes."""
-    price = F.round(F.col("list_value").cast("double") / F.abs("qty"), 4).cast("decimal(18,4)")
+    price = F.round(F.col("list_value") / F.abs("qty"), 4).cast("decimal(18,4)")
     return b.sales(spark, sf_dir).withColumn("unit_price", price) \
         .join(b.parts(spark, sf_dir), "part")
 

@@ -42,7 +42,7 @@ PIECES: dict[str, tuple[str, tuple[str, ...]]] = {
     "item": ("""
         SELECT p_partkey, p_name, p_type, p_brand, CAST(p_retailprice AS DECIMAL(12,2)) AS price,
             CASE WHEN p_partkey % 29 = 0 THEN NULL ELSE
-                CAST(CAST(p_retailprice AS DECIMAL(12,2)) * (20 + 2 * (p_size % 10)) AS DOUBLE) / 100
+                CAST(CAST(p_retailprice * 100 AS BIGINT) * (20 + 2 * (p_size % 10)) AS DOUBLE) / 10000
             END AS unit_cost
         FROM part""", ()),
     "c": ("""

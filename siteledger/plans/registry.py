@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .analyses import ANALYSES
+from .checks import CHECKS
+from .conforming import CONFORMING
+from .loading import LOADING
+from .model_queries import MODELS
 from .oracle_analyses import ANALYSIS_SQL
+from .oracle_conforming import CHECK_SQL, CONFORMING_SQL, LOADING_SQL
+from .oracle_models import MODEL_SQL
+from .oracle_questions import QUESTION_SQL
+from .questions import QUESTIONS
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**ANALYSES}
-ORACLES: dict[str, str] = {**ANALYSIS_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    **ANALYSES, **CONFORMING, **QUESTIONS, **CHECKS, **LOADING, **MODELS}
+ORACLES: dict[str, str] = {
+    **ANALYSIS_SQL, **CONFORMING_SQL, **QUESTION_SQL, **CHECK_SQL, **LOADING_SQL, **MODEL_SQL}
