@@ -3,7 +3,9 @@
 Dimension sides are joined by plain equi-joins without a broadcast hint: Spark
 broadcasts a side whose measured size is under
 ``spark.sql.autoBroadcastJoinThreshold`` (also at run time under AQE) and
-otherwise shuffles, where AQE splits a skewed key.
+otherwise shuffles, where AQE splits a skewed key.  A dimension that is neither
+small nor evenly used can be joined with ``salts`` > 1: its rows are repeated
+that often and the rows of each key spread over as many tasks.
 """
 
 from __future__ import annotations
@@ -22,17 +24,33 @@ def alias_map(aliases: DataFrame, alias: str, item_id: str) -> DataFrame:
     return aliases.select(normal_key(alias).alias("alias_norm"), F.col(item_id)).distinct()
 
 
+def salted_join(df: DataFrame, dim: DataFrame, on: str, how: str = "inner",
+                salts: int = 1) -> DataFrame:
+    """Equi-join a dimension (unique on ``on``), spreading each key over ``salts`` tasks.
+
+    The salt is a hash of the row, so a retried task places rows as before.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("a salted join keeps or drops left rows only")
+    if salts <= 1:
+        return df.join(dim, on, how)
+    left = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+    right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [on, "_salt"], how).drop("_salt")
+
+
 def resolve_alias(df: DataFrame, name: str, aliases: DataFrame, alias: str = "alias",
-                  item_id: str = "item_id", how: str = "inner") -> DataFrame:
+                  item_id: str = "item_id", how: str = "inner", salts: int = 1) -> DataFrame:
     """Attach the canonical id of a free-text name; unmapped rows drop unless ``how='left'``."""
     known = alias_map(aliases, alias, item_id)
-    return df.join(known, normal_key(df[name]) == known["alias_norm"], how).drop("alias_norm")
+    keyed = df.withColumn("alias_norm", normal_key(name))
+    return salted_join(keyed, known, "alias_norm", how, salts).drop("alias_norm")
 
 
 def unmapped_names(df: DataFrame, name: str, aliases: DataFrame,
                    alias: str = "alias") -> DataFrame:
     """Distinct raw names no alias covers (distinct first, so the join sees few rows)."""
-    known = aliases.select(normal_key(alias).alias("_key"))
+    known = aliases.select(normal_key(alias).alias("_key")).distinct()
     names = df.select(name).distinct()
     return names.join(known, normal_key(names[name]) == known["_key"], "left_anti")
 
@@ -45,15 +63,15 @@ def ambiguous_aliases(aliases: DataFrame, alias: str = "alias",
 
 
 def conform_code(df: DataFrame, bridge: DataFrame, code: str, entity: str,
-                 how: str = "inner") -> DataFrame:
+                 how: str = "inner", salts: int = 1) -> DataFrame:
     """Replace nothing, add the canonical entity id of a source code."""
-    return df.join(bridge.select(code, entity), code, how)
+    return salted_join(df, bridge.select(code, entity), code, how, salts)
 
 
 def lookup_id(df: DataFrame, dim: DataFrame, name: str, key: str,
-              how: str = "inner") -> DataFrame:
+              how: str = "inner", salts: int = 1) -> DataFrame:
     """Surrogate key by natural name."""
-    return df.join(dim.select(name, key), name, how)
+    return salted_join(df, dim.select(name, key), name, how, salts)
 
 
 def era_history(places: DataFrame, bridge: DataFrame, code: str = "location_code",
@@ -70,8 +88,9 @@ def current_dimension(places: DataFrame, bridge: DataFrame, code: str = "locatio
                       closed: str = "closed_date") -> DataFrame:
     """The open era of each entity, with the first open date across its eras."""
     eras = conform_code(places, bridge, code, entity)
-    first_open = F.min(opened).over(Window.partitionBy(entity))
-    return eras.withColumn(opened, first_open).filter(F.col(closed).isNull()).drop(closed)
+    first = eras.groupBy(entity).agg(F.min(opened).alias("_first"))
+    current = eras.filter(F.col(closed).isNull()).join(first, entity)
+    return current.withColumn(opened, F.col("_first")).drop("_first", closed)
 
 
 def in_era(df: DataFrame, eras: DataFrame, entity: str, day: str,

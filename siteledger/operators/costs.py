@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import growth_pct, iso_weekday, mean_of, month_start, pct
-from .metrics import in_range
+from .metrics import in_range, within
 
 Span = tuple[str, str]
 
@@ -138,7 +138,7 @@ def cost_bridge(rows: DataFrame, day: str, net: str, labor: str, purchases: str,
 def target_miss(rows: DataFrame, day: str, net: str, costs: Sequence[str], span: Span,
                 target: float) -> DataFrame:
     """Cost ratio of one window, its miss against a target, and that miss in money."""
-    sums = rows.filter(in_range(day, span)).agg(
+    sums = within(rows, day, span).agg(
         F.sum(net).alias("_net"), *[F.sum(c).alias(f"_{c}") for c in costs])
     cost_pct = pct(_total([f"_{c}" for c in costs]), "_net", None)
     miss = cost_pct - F.lit(float(target))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import growth_pct, month_start, pct
 
@@ -92,6 +92,16 @@ def in_range(day: str, span: tuple[str, str]) -> Column:
     return F.col(day).between(*_dates(span))
 
 
+def within(rows: DataFrame, day: str, span: tuple[str, str],
+           partition: str = "month_start") -> DataFrame:
+    """Rows of an inclusive date range, also pruning month partitions where there are any."""
+    kept = rows.filter(in_range(day, span))
+    if partition in rows.columns and partition != day:
+        first, last = _dates(span)
+        kept = kept.filter(F.col(partition).between(F.trunc(first, "month"), last))
+    return kept
+
+
 def vs_group_mean(rows: DataFrame, unit: str, day: str, value: str,
                   months: Sequence[str]) -> DataFrame:
     """Unit-months against the mean of all units in the same month."""
@@ -101,12 +111,12 @@ def vs_group_mean(rows: DataFrame, unit: str, day: str, value: str,
     # The plain range reaches the scan; the exact months are checked after it.
     near = rows.filter((F.col(day) >= F.lit(lower).cast("date"))
                        & (F.col(day) <= F.last_day(F.lit(upper).cast("date"))))
-    monthly = near.filter(month.isin(*wanted)).groupBy(unit, month.alias("month_start")) \
+    monthly = near.filter(month.isin(*wanted)).groupBy(unit, month.alias("_month")) \
         .agg(F.sum(value).alias("net_sales"))
-    peers = Window.partitionBy("month_start")
-    group_avg = F.sum("net_sales").over(peers).cast("double") / F.count("net_sales").over(peers)
-    return monthly.withColumn("group_avg", group_avg).select(
-        unit, F.date_format("month_start", "yyyy-MM").alias("month"),
+    group = monthly.groupBy("_month").agg(
+        (F.sum("net_sales").cast("double") / F.count("net_sales")).alias("group_avg"))
+    return monthly.join(group, "_month").select(
+        unit, F.date_format("_month", "yyyy-MM").alias("month"),
         F.round(F.col("net_sales").cast("double"), 0).alias("net_sales"),
         F.round("group_avg", 0).alias("group_avg_per_unit"),
         growth_pct("net_sales", "group_avg", 1).alias("vs_group_pct"))

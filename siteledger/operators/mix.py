@@ -89,14 +89,15 @@ def below_peers(grid: DataFrame, unit: str, peer_group: str, band: str, factor:
     """Bands whose share is under ``factor`` x the mean share of the unit's peers.
 
     Peers are the other units of the same group that have the band.  Their mean
-    is (sum - own) / (n - 1) over one window, so units are never paired up; a
-    unit without peers gives no row.
+    is (sum - own) / (n - 1) from one aggregate per band, so units are never
+    paired up; a unit without peers gives no row.
     """
     share = pct(value, F.sum(value).over(Window.partitionBy(unit)), None)
-    peers = Window.partitionBy(peer_group, band)
-    others = F.count("share").over(peers) - 1
-    mean = (F.sum("share").over(peers) - F.col("share")) / F.nullif(others, F.lit(0))
-    return grid.withColumn("share", share).withColumn("peer_avg", mean) \
+    shares = grid.select(unit, peer_group, band, share.alias("share"))
+    sums = shares.groupBy(peer_group, band).agg(
+        F.sum("share").alias("_sum"), F.count("share").alias("_n"))
+    mean = (F.col("_sum") - F.col("share")) / F.nullif(F.col("_n") - 1, F.lit(0))
+    return shares.join(sums, [peer_group, band]).withColumn("peer_avg", mean) \
         .filter(F.col("share") < F.lit(float(factor)) * F.col("peer_avg")) \
         .select(unit, band, F.round("share", 1).alias("share_pct"),
                 F.round("peer_avg", 1).alias("peer_avg_pct"))

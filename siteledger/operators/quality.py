@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import pct
-from ..session import ensure_checkpoint_dir
 from .conform import unmapped_names
+from .positions import positions
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -32,9 +32,16 @@ def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
 
 
 def relationships(df: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
-    """Rows whose non-null reference has no parent."""
-    return df.filter(F.col(column).isNotNull()).join(
-        parent.select(F.col(key).alias("_key")), F.col(column) == F.col("_key"), "left_anti")
+    """Rows whose non-null reference has no parent.
+
+    Compares distinct values first, which combine map-side on both sides, so a
+    value held by very many rows costs one row per task.  The orphaned values
+    are few, usually none, and only they are matched back to the rows.
+    """
+    used = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("_ref")).distinct()
+    known = parent.select(F.col(key).alias("_key")).distinct()
+    orphans = used.join(known, F.col("_ref") == F.col("_key"), "left_anti")
+    return df.join(orphans, F.col(column) == F.col("_ref"), "left_semi")
 
 
 def expression_is_true(df: DataFrame, condition: Column | str) -> DataFrame:
@@ -113,26 +120,6 @@ def _cell(df: DataFrame, field: T.StructField, scale: int) -> Column:
 
 
 
-def positions(df: DataFrame, order: Sequence[Column | str], out: str = "position") -> DataFrame:
-    """Number rows 1..n in sort order without gathering them in one task.
-
-    The sorted rows are checkpointed (an action), which pins their partitions;
-    each partition then only needs the row counts of the partitions before it.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    pinned = df.orderBy(*order).select("*", F.monotonically_increasing_id().alias("_id")) \
-        .checkpoint()
-    part = F.shiftright("_id", 33)
-    tagged = pinned.withColumn("_part", part)
-    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition of the sort, not per data row.
-    before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")
-    offsets = counts.select("_part", before.alias("_before"))
-    local = F.col("_id") - F.shiftleft(F.col("_part").cast("bigint"), 33)
-    return tagged.join(offsets, "_part") \
-        .withColumn(out, local + F.col("_before") + F.lit(1)).drop("_id", "_part", "_before")
-
-
 def diff_results(expected: DataFrame, actual: DataFrame, scale: int = 2,
                  expected_order: Sequence[Column | str] | None = None,
                  actual_order: Sequence[Column | str] | None = None) -> DataFrame:

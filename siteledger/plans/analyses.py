@@ -53,7 +53,7 @@ def a02_duplicate_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keyed_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Units by name as keyed in: summed per part first, so names join few rows."""
-    counted = b.sales(spark, sf_dir).filter(F.col("state").isin("sale", "comp")) \
+    counted = b.lines_only(spark, sf_dir).filter(F.col("state").isin("sale", "comp")) \
         .groupBy("part").agg(F.sum("qty").alias("units"))
     named = b.raw_names(spark, sf_dir).join(counted, "part")
     return named.groupBy("keyed_name").agg(F.sum("units").alias("units"))
@@ -152,16 +152,29 @@ def a07c_era_band(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "order_value", F.col("priority") == "1-URGENT", "location_code")
 
 
-def attach_tickets(spark: SparkSession, sf_dir: str, category: str = "PROMO") -> DataFrame:
+def attach_tickets(spark: SparkSession, sf_dir: str, category: str = "PROMO",
+                   span: tuple[str, str] | None = None) -> DataFrame:
     """Tickets with any-line flags: has a sale, has a sale of one category."""
-    mart = spark.conf.get(b.MART_SETTING, None)
-    lines = b.sales(spark, sf_dir) if mart else b.line_items(spark, sf_dir)
     kinds = b.parts(spark, sf_dir).select("part", (F.col("category") == category).alias("hit"))
     sale = F.col("state") == "sale"
-    keys = ["ticket", "day", "unit"] if mart else ["ticket"]
-    flagged = metrics.ticket_rollup(lines.join(kinds, "part"), keys,
-                                    flags={"attached": F.col("hit") & sale, "has_sale": sale})
-    return flagged if mart else flagged.join(b.headers(spark, sf_dir), "ticket")
+    return flag_tickets(spark, sf_dir, {"attached": F.col("hit") & sale, "has_sale": sale},
+                        kinds, span)
+
+
+def flag_tickets(spark: SparkSession, sf_dir: str, flags: dict[str, Column],
+                 items: DataFrame | None = None, span: tuple[str, str] | None = None) -> DataFrame:
+    """Any-line flags per ticket, optionally with item attributes and in a date range."""
+    fact = b.published(spark, "sales")
+    lines = b.line_items(spark, sf_dir) if fact is None else fact
+    if fact is not None and span:
+        lines = metrics.within(lines, "day", span)
+    if items is not None:
+        lines = lines.join(items, "part")
+    if fact is not None:
+        return metrics.ticket_rollup(lines, b.TICKET_LEVEL, flags=flags)
+    tickets = metrics.ticket_rollup(lines, ["ticket"], flags=flags) \
+        .join(b.headers(spark, sf_dir), "ticket")
+    return metrics.within(tickets, "day", span) if span else tickets
 
 
 def a07d_attach_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +246,7 @@ def tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def a11b_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.ticket_sales(spark, sf_dir).filter(metrics.in_range("day", ("2000-07-01", "2001-06-30")))
+    rows = metrics.within(b.ticket_sales(spark, sf_dir), "day", ("2000-07-01", "2001-06-30"))
     total = hierarchy.rollup_levels(rows, ["unit", "area"], "net")
     return total.select("node", F.round(F.col("net_sales").cast("double"), 0).alias("net_sales"),
                         F.col("leaves").alias("units"))
@@ -245,7 +258,7 @@ def a11b_hierarchy_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
         b.units(spark, sf_dir), F.col("s_nationkey") == F.col("unit_id"))
     nodes = tree_nodes(spark, sf_dir).unionByName(
         supplier.select(F.col("s_name").alias("node"), F.col("unit").alias("parent")))
-    lines = b.sales(spark, sf_dir).groupBy("supplier").agg(F.sum("net").alias("net"))
+    lines = b.lines_only(spark, sf_dir).groupBy("supplier").agg(F.sum("net").alias("net"))
     leaves = lines.join(supplier, F.col("supplier") == F.col("s_suppkey"))
     total = hierarchy.rollup_tree(leaves, "s_name", "net", nodes)
     return total.select("node", F.round(F.col("net_sales").cast("double"), 0).alias("net_sales"),

@@ -11,12 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..functions import month_start, signed_net, to_local_ntz
 from ..operators.cleaning import copies_and_latest, keep_latest
 from ..operators.metrics import ticket_rollup
+from ..sources import write_fact
 
 MONEY = "decimal(12,2)"
 RATE = "decimal(4,2)"
 NET = "decimal(18,4)"
 
-# Session setting that names a folder with the published fact (see ``publish_mart``).
+# Session setting that names the catalog schema with the published facts (see ``publish_mart``).
 MART_SETTING = "spark.siteledger.mart"
 
 LINE_KEY = ("l_orderkey", "l_linenumber")
@@ -88,33 +89,44 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").cast("decimal(14,2)").alias("order_value"))
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The conformed sales fact at line grain.
-
-    Reads the published fact when the session names one, else derives it.
-    """
+def published(spark: SparkSession, name: str) -> DataFrame | None:
+    """A published fact, or None when the session names no mart."""
     mart = spark.conf.get(MART_SETTING, None)
-    if mart:
-        return spark.read.parquet(f"{mart}/sales").drop("month_start")
+    return spark.table(f"{mart}.{name}") if mart else None
+
+
+def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conformed sales fact at line grain, published or derived."""
+    fact = published(spark, "sales")
+    if fact is not None:
+        return fact
     return line_items(spark, sf_dir).join(headers(spark, sf_dir), "ticket")
 
 
+def lines_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deduplicated lines for questions that need no header attribute."""
+    fact = published(spark, "sales")
+    return line_items(spark, sf_dir) if fact is None else fact
+
+
+TICKET_LEVEL = ("ticket", "day", "unit_id", "unit", "area")
+
+
 def ticket_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per ticket with its unit, day and summed measures.
 
     Lines are summed to tickets before the header join; unused sums are pruned.
     """
+    fact = published(spark, "tickets")
+    if fact is not None:
+        return fact
     gross = F.col("gross")
-    totals = {
+    rolled = ticket_rollup(line_items(spark, sf_dir), ["ticket"], {
         "net": F.col("net"),
         "comp_gross": F.when(F.col("state") == "comp", gross),
         "sale_gross": F.when(F.col("state") == "sale", gross),
         "labor": F.col("labor"),
-    }
-    if spark.conf.get(MART_SETTING, None):
-        return ticket_rollup(sales(spark, sf_dir), ["ticket", "day", "unit_id", "unit", "area"],
-                             totals)
-    rolled = ticket_rollup(line_items(spark, sf_dir), ["ticket"], totals)
+    })
     return rolled.join(headers(spark, sf_dir), "ticket")
 
 
@@ -135,15 +147,14 @@ def purchases_of(rows: DataFrame) -> Column:
 
 def ticket_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per ticket with net, labor and purchases."""
+    fact = published(spark, "tickets")
+    if fact is not None:
+        return fact
     priced = parts(spark, sf_dir).select("part", "price")
-    totals = {"net": F.col("net"), "labor": F.col("labor"), "purchases": F.col("purchases")}
-    if spark.conf.get(MART_SETTING, None):
-        lines = sales(spark, sf_dir).join(priced, "part")
-        lines = lines.withColumn("purchases", purchases_of(lines))
-        return ticket_rollup(lines, ["ticket", "day", "unit_id", "unit", "area"], totals)
     lines = line_items(spark, sf_dir).join(priced, "part")
-    lines = lines.withColumn("purchases", purchases_of(lines))
-    return ticket_rollup(lines, ["ticket"], totals).join(headers(spark, sf_dir), "ticket")
+    rolled = ticket_rollup(lines.withColumn("purchases", purchases_of(lines)), ["ticket"], {
+        "net": F.col("net"), "labor": F.col("labor"), "purchases": F.col("purchases")})
+    return rolled.join(headers(spark, sf_dir), "ticket")
 
 
 def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,13 +275,26 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("local_ts", to_local_ntz("closed_at", "America/New_York"))
 
 
-def publish_mart(spark: SparkSession, sf_dir: str, folder: str) -> str:
-    """Derive the sales fact once and write it by month; later queries read it.
+def publish_mart(spark: SparkSession, sf_dir: str, schema: str, folder: str) -> str:
+    """Derive the sales facts once and register them; later queries read them.
 
-    Returns the folder to put into ``spark.siteledger.mart``.
+    ``sales`` has lines, ``tickets`` their sums.  Both are partitioned by month
+    and clustered inside, so a date range prunes partitions and a unit prunes
+    row groups.  Returns the value for ``spark.siteledger.mart``.
     """
-    from ..sources import write_fact
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
     fact = line_items(spark, sf_dir).join(headers(spark, sf_dir), "ticket") \
         .withColumn("month_start", month_start("day"))
-    write_fact(fact, f"{folder}/sales", "month_start", ["unit", "day", "ticket", "line"])
-    return folder
+    write_fact(fact, f"{folder}/sales", "month_start", ["unit", "day", "ticket", "line"],
+               table=f"{schema}.sales")
+    lines = spark.table(f"{schema}.sales").join(parts(spark, sf_dir).select("part", "price"), "part")
+    gross = F.col("gross")
+    tickets = ticket_rollup(
+        lines.withColumn("purchases", purchases_of(lines)), [*TICKET_LEVEL, "month_start"], {
+            "net": F.col("net"),
+            "comp_gross": F.when(F.col("state") == "comp", gross),
+            "sale_gross": F.when(F.col("state") == "sale", gross),
+            "labor": F.col("labor"), "purchases": F.col("purchases")})
+    write_fact(tickets, f"{folder}/tickets", "month_start", ["unit", "day", "ticket"],
+               table=f"{schema}.tickets")
+    return schema

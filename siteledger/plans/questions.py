@@ -8,7 +8,7 @@ from ..functions import mean_of, month_start, pct, ratio
 from ..operators import calendar, costs, metrics, mix, reconcile
 from ..operators.metrics import in_range
 from . import bindings as b
-from .analyses import attach_tickets, both_books, plain, unit_prices
+from .analyses import attach_tickets, both_books, flag_tickets, plain, unit_prices
 from .conforming import order_days
 
 YEAR_96, YEAR_97, YEAR_98 = ((f"{y}-01-01", f"{y}-12-31") for y in (1996, 1997, 1998))
@@ -33,7 +33,7 @@ def q04_count_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q05_total_net(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(b.ticket_sales(spark, sf_dir).filter(in_range("day", YEAR_97))
+    return plain(metrics.within(b.ticket_sales(spark, sf_dir), "day", YEAR_97)
                  .agg(F.sum("net").alias("net_sales")))
 
 
@@ -48,50 +48,44 @@ def q07_items_without_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q08_net_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.ticket_sales(spark, sf_dir).filter(in_range("day", YEAR_97))
+    rows = metrics.within(b.ticket_sales(spark, sf_dir), "day", YEAR_97)
     return plain(rows.groupBy("area").agg(F.round(F.sum("net"), 2).alias("net_sales"))
                  .orderBy(F.desc("net_sales"), "area"))
 
 
 def q09_average_ticket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.ticket_sales(spark, sf_dir).filter(in_range("day", YEAR_97))
+    rows = metrics.within(b.ticket_sales(spark, sf_dir), "day", YEAR_97)
     tickets = F.count_distinct(F.struct("day", "ticket"))
     return rows.groupBy("unit").agg(
         F.round(ratio(F.sum("net"), tickets), 2).alias("average_ticket"))
 
 
 def q10_best_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.sales(spark, sf_dir).filter("state = 'sale'").filter(in_range("day", YEAR_96))
+    rows = metrics.within(b.sales(spark, sf_dir), "day", YEAR_96).filter("state = 'sale'")
     return metrics.top_n(rows, "part", "qty", 5)
 
 
 def q11_unit_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.ticket_sales(spark, sf_dir).filter(F.col("unit") == ONE_UNIT) \
-        .filter(in_range("day", YEAR_97))
+    rows = metrics.within(b.ticket_sales(spark, sf_dir), "day", YEAR_97) \
+        .filter(F.col("unit") == ONE_UNIT)
     return plain(rows.groupBy(month_start("day").alias("month"))
                  .agg(F.sum("net").alias("net_sales")).orderBy("month"))
 
 
 def q12_flagged_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of tickets with any large line, whatever its state."""
-    flags = {"large": F.abs("qty") >= 45}
-    if spark.conf.get(b.MART_SETTING, None):
-        tickets = metrics.ticket_rollup(b.sales(spark, sf_dir), ["ticket", "day", "unit"], flags=flags)
-    else:
-        tickets = metrics.ticket_rollup(b.line_items(spark, sf_dir), ["ticket"], flags=flags) \
-            .join(b.headers(spark, sf_dir), "ticket")
-    return metrics.share_of_tickets(tickets.filter(in_range("day", YEAR_97)), "unit", "large",
-                                    1, "large_pct")
+    tickets = flag_tickets(spark, sf_dir, {"large": F.abs("qty") >= 45}, span=YEAR_97)
+    return metrics.share_of_tickets(tickets, "unit", "large", 1, "large_pct")
 
 
 def q13_comp_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.ticket_sales(spark, sf_dir).filter(in_range("day", YEAR_97)) \
+    rows = metrics.within(b.ticket_sales(spark, sf_dir), "day", YEAR_97) \
         .filter(F.col("comp_gross").isNotNull())
     return plain(rows.groupBy("unit").agg(F.round(F.sum("comp_gross"), 2).alias("comp_value")))
 
 
 def q14_over_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.ticket_sales(spark, sf_dir).filter(in_range("day", YEAR_97))
+    rows = metrics.within(b.ticket_sales(spark, sf_dir), "day", YEAR_97)
     actual = costs.period_totals(rows, "unit", "day", {"labor": "labor"})
     over = costs.over_plan(actual, b.plan_rows(spark, sf_dir), "unit", "labor", "plan_labor", 5)
     return over.withColumn("over_plan", F.round(F.col("over_plan"), 2).cast("double"))
@@ -100,14 +94,14 @@ def q14_over_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q15_weekend_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = calendar.describe_days(order_days(spark, sf_dir), "day") \
         .select(F.col("date_key").alias("day"), "is_weekend")
-    rows = b.ticket_sales(spark, sf_dir).filter(in_range("day", YEAR_97)) \
+    rows = metrics.within(b.ticket_sales(spark, sf_dir), "day", YEAR_97) \
         .groupBy("unit", "day").agg(F.sum("net").alias("net")).join(days, "day")
     return metrics.share_within(rows, ["unit"], "net", F.col("is_weekend"), 1, "weekend_pct")
 
 
 def q16_top_three_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.sales(spark, sf_dir).filter("state = 'sale'") \
-        .filter(in_range("day", ("1997-10-01", "1997-12-31")))
+    rows = metrics.within(b.sales(spark, sf_dir), "day", ("1997-10-01", "1997-12-31")) \
+        .filter("state = 'sale'")
     return mix.top_per_group(rows, ["unit"], "part", "qty", 3).select("unit", "part", "units")
 
 
@@ -123,8 +117,8 @@ def q18_differing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q19_ratio_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three facts, each summed to the unit before they meet."""
-    rows = b.sales(spark, sf_dir).filter(in_range("day", TWELVE_MONTHS))
-    bought = b.invoice_lines(spark, sf_dir).filter(in_range("day", TWELVE_MONTHS))
+    rows = metrics.within(b.sales(spark, sf_dir), "day", TWELVE_MONTHS)
+    bought = metrics.within(b.invoice_lines(spark, sf_dir), "day", TWELVE_MONTHS)
     net = rows.groupBy("unit").agg(F.sum("net").alias("net"))
     labor = rows.groupBy("unit").agg(F.sum("labor").alias("labor"))
     purchases = bought.groupBy("unit").agg(F.sum("purchases").alias("purchases"))
@@ -134,9 +128,8 @@ def q19_ratio_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q20_attach_half_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tickets = attach_tickets(spark, sf_dir).filter("has_sale") \
-        .filter(in_range("day", ("2000-01-01", "2000-06-30")))
-    return metrics.share_of_tickets(tickets, "unit", "attached", 1, "attach_pct")
+    tickets = attach_tickets(spark, sf_dir, span=("2000-01-01", "2000-06-30"))
+    return metrics.share_of_tickets(tickets.filter("has_sale"), "unit", "attached", 1, "attach_pct")
 
 
 def q21_share_before_after(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,19 +142,20 @@ def q21_share_before_after(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q22_mean_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     may = in_range("day", ("1998-05-01", "1998-05-31"))
     july = in_range("day", ("1998-07-01", "1998-07-31"))
-    rows = unit_prices(spark, sf_dir).filter("brand = 'Brand#7'").filter("state = 'sale'") \
-        .filter(may | july)
+    rows = metrics.within(unit_prices(spark, sf_dir), "day", ("1998-05-01", "1998-07-31")) \
+        .filter("brand = 'Brand#7'").filter("state = 'sale'").filter(may | july)
     return plain(rows.groupBy(F.date_format("day", "yyyy-MM").alias("month"))
                  .agg(F.round(mean_of("unit_price"), 2).alias("mean_price")))
 
 
 def q23_share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.line_items(spark, sf_dir).select("supplier", "list_value")
+    rows = b.lines_only(spark, sf_dir).select("supplier", "list_value")
     return metrics.share_of_total(rows, "supplier", "list_value")
 
 
 def q24_mean_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = unit_prices(spark, sf_dir).filter("brand = 'Brand#7'")
+    rows = metrics.within(unit_prices(spark, sf_dir), "day", ("1998-02-01", "1998-03-31")) \
+        .filter("brand = 'Brand#7'")
     return costs.mean_change(rows, "day", "unit_price", "1998-03-01", "1998-02-01")
 
 

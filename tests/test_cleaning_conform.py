@@ -55,6 +55,26 @@ def test_ranks_and_copies_agree_with_keep_latest(rows):
         [("A", 1, 2, 20, "y"), ("A", 2, 2, 20, "q"), ("B", 1, 2, 20, "m")]
 
 
+def test_hot_keys_are_ranked_by_a_distributed_sort(spark, rows):
+    data = [(k, i * 37 % 101, f"i{i}") for k, n in ((None, 90), ("hot", 101), ("cold", 3)) for i in range(n)]
+    df = rows("loc string, closed int, item string", *data).repartition(6)
+    plain = cleaning.rank_exports(df, ["loc"], ["closed"])
+    for limit in (0, 50, 95):
+        spread = cleaning.rank_exports(df, ["loc"], ["closed"], hot_rows=limit)
+        assert spread.columns == plain.columns and dict(spread.dtypes)["export_seq"] == "int"
+        assert values(spread) == values(plain)
+
+
+def test_salted_join_equals_the_plain_one(rows):
+    aliases = rows("alias string, item_id int", ("Soup", 2), ("SOUP", 2), ("Tea", 3))
+    lines = rows("name string, n int", *[("soup", i) for i in range(20)], ("tea", 1), ("mystery", 1))
+    for how in ("inner", "left"):
+        plain = conform.resolve_alias(lines, "name", aliases, how=how)
+        assert values(conform.resolve_alias(lines, "name", aliases, how=how, salts=4)) == values(plain)
+    with pytest.raises(ValueError):
+        conform.salted_join(lines, aliases, "name", how="full_outer", salts=2)
+
+
 def test_alias_variants_do_not_fan_out(rows):
     aliases = rows("alias string, item_id int", ("House Salad", 14), ("HOUSE SALAD", 14), ("Soup", 2))
     lines = rows("name string", ("house salad ",), ("Soup",), ("mystery",))

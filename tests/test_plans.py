@@ -11,6 +11,8 @@ from siteledger.plans import bindings
 from siteledger.plans.registry import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
+# May have no rows at the smallest scale, or do not read the fact.
+NOT_COMPARED = {"a08_streaks", "q22_mean_price", "a03b_unmapped_names", "a03c_ambiguous_aliases"}
 
 
 def plan_of(df):
@@ -37,11 +39,12 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 def test_published_fact_gives_the_same_answers(spark):
     duck = checker.connect(SF_DIR)
-    folder = bindings.publish_mart(spark, SF_DIR, tempfile.mkdtemp(prefix="mart-"))
-    spark.conf.set(bindings.MART_SETTING, folder)
+    schema = bindings.publish_mart(spark, SF_DIR, "testmart", tempfile.mkdtemp(prefix="mart-"))
+    spark.conf.set(bindings.MART_SETTING, schema)
     try:
-        for name in ("a01a_monthly_net", "a05_ratio_vs_target", "a06a_quadrants", "a06b_top_three",
-                     "a07d_attach_rate", "a08_streaks_observed", "a09a_tie_out", "a10a_price_steps", "q12_flagged_tickets"):
+        for name in sorted(n for n in ORACLES if n[0] in "aq"):
+            if name in NOT_COMPARED:
+                continue
             assert checker.mismatch(QUERIES[name](spark, SF_DIR), duck, ORACLES[name]) is None, name
     finally:
         spark.conf.unset(bindings.MART_SETTING)
