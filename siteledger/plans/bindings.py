@@ -186,15 +186,18 @@ def books(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     book_a = ticket_sales(spark, sf_dir).groupBy("unit_id", "unit", "day") \
         .agg(F.sum("net").alias("net"))
     case = (F.datediff("day", F.lit("1995-01-01").cast("date")) + F.col("unit_id")) % 60
-    nudge = F.when(F.col("case") == 10, 3).when(F.col("case") == 20, -50) \
-        .when(F.col("case") == 30, 75).otherwise(0)
-    entries = F.when(F.col("case") == 1, F.array(
-        F.struct(F.col("day"), F.lit(0).cast("decimal(38,4)").alias("booked")),
-        F.struct(F.date_add("day", 1).alias("day"), F.col("net").cast("decimal(38,4)").alias("booked")))) \
-        .otherwise(F.array(F.struct(
-            F.col("day"), (F.col("net") + nudge).cast("decimal(38,4)").alias("booked"))))
-    book_b = book_a.withColumn("case", case).filter("case <> 0") \
-        .select("unit", F.inline(entries)).groupBy("unit", "day") \
+    amount = "decimal(38,4)"
+
+    def entry(day: Column, value: Column) -> Column:
+        return F.struct(day.alias("day"), value.cast(amount).alias("booked"))
+
+    nudge = F.when(case == 10, 3).when(case == 20, -50).when(case == 30, 75).otherwise(0)
+    booked = F.array(entry(F.col("day"), F.col("net") + nudge))
+    late = F.array(entry(F.col("day"), F.lit(0)), entry(F.date_add("day", 1), F.col("net")))
+    # Dropped days are an empty list rather than a filter, which would be pushed
+    # below the aggregate and keep both books from sharing it.
+    entries = F.when(case == 0, F.slice(booked, 1, 0)).when(case == 1, late).otherwise(booked)
+    book_b = book_a.select("unit", F.inline(entries)).groupBy("unit", "day") \
         .agg(F.sum("booked").alias("booked"))
     return book_a.select("unit", "day", "net"), book_b
 

@@ -48,3 +48,26 @@ def test_published_fact_gives_the_same_answers(spark):
             assert checker.mismatch(QUERIES[name](spark, SF_DIR), duck, ORACLES[name]) is None, name
     finally:
         spark.conf.unset(bindings.MART_SETTING)
+
+
+@pytest.mark.parametrize("name", ["a01a_monthly_net", "a05_ratio_vs_target", "a07c_era_band", "a09a_tie_out",
+                                  "a11b_hierarchy_suppliers", "c10_conform_code", "q19_ratio_ranking",
+                                  "t04_relationships", "model_fact_ticket_line"])
+def test_same_answers_when_nothing_can_be_broadcast(spark, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES[name](spark, SF_DIR)
+        plan = plan_of(df)
+        assert "Broadcast" not in plan and "CartesianProduct" not in plan
+        assert checker.mismatch(df, checker.connect(SF_DIR), ORACLES[name]) is None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_both_books_share_one_deduplication(spark):
+    df = QUERIES["a09a_tie_out"](spark, SF_DIR)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("row_number() windowspecdefinition") == 1 and "ReusedExchange" in final
