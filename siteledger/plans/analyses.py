@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions import band, month_start
+from ..functions import band
 from ..operators import costs, growth, hierarchy, metrics, mix, reconcile, streaks
 from ..operators.conform import ambiguous_aliases, resolve_alias, unmapped_names
 from . import bindings as b
