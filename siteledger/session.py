@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -37,17 +38,31 @@ def build_session(app: str = "siteledger", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """Folder for written intermediates: the cluster's ``spark.checkpoint.dir``.
 
-    Only a session that names none (tests, a laptop) gets a temporary folder,
-    which is then remembered in the session configuration.
+    Only a local session, whose tasks and driver are one machine, may leave it unset
+    (tests, a laptop); it gets a temporary folder, remembered in its configuration.
+    Anywhere else a missing setting is an error: a local folder would not be shared.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) \
         or spark.conf.get("spark.siteledger.scratch", None)
     if not configured:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="siteledger-")
         spark.conf.set("spark.siteledger.scratch", configured)
     return configured.rstrip("/")
 
 
+def release_intermediates(spark: SparkSession) -> None:
+    """Delete everything this application wrote to the shared folder.
+
+    For the end of a job: frames built on written intermediates can't be read afterwards.
+    """
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{context.applicationId}")
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable without overriding the cluster's choice."""
     if spark.sparkContext.getCheckpointDir() is None:
