@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,7 +12,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..sources.landing import pin
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where it is not installed but lies on a shared path."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

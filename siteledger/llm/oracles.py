@@ -45,3 +45,23 @@ SELECT c.page_id, c.host, c.path, b.rule,
        b.rule IS NULL AND l.canonical IS NOT NULL AS listed
 FROM c LEFT JOIN best b USING (page_id) LEFT JOIN listed l ON c.canonical = l.canonical
 """
+
+ORACLES["op6_minhash_dedup"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+    FROM documents),
+s AS (
+    SELECT doc_id, CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS sh
+    FROM w),
+n AS (SELECT doc_id, len(sh) AS n FROM s),
+e AS (SELECT doc_id, unnest(sh) AS h FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM e a JOIN e b ON a.h = b.h AND a.doc_id <> b.doc_id
+      GROUP BY ALL),
+links AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
+          WHERE 100 * n_both >= 80 * (x.n + y.n - n_both)),
+reach(doc_id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.doc_id)
+SELECT n.doc_id, n.n AS n_shingles, min(r.c) AS component_id, n.doc_id = min(r.c) AS kept
+FROM n JOIN reach r USING (doc_id) GROUP BY n.doc_id, n.n
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, url_filters
+from . import exact_dedup, minhash_dedup, packing, url_filters
 from .common import table
 
 # The rules of the url query, and the sites whose pages make up its list.
@@ -15,6 +15,17 @@ URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"),
 LISTED_SITES = ("ads-track", "spam-farm", "casino-win", "adult-x", "cheap-pills", "free-bets")
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash_dedup.classes(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.find_copies(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size",
@@ -34,4 +45,5 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op7_exact_dedup, op9_url_filters)}
+    q.__name__: q for q in (
+        op5_packing, op6_minhash_dedup, op7_exact_dedup, op9_url_filters)}
