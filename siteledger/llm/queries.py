@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, minhash_dedup, packing, url_filters
+from . import exact_dedup, language_id, minhash_dedup, packing, toxicity, url_filters
 from .common import table
 
 # The rules of the url query, and the sites whose pages make up its list.
@@ -15,6 +15,22 @@ URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"),
 LISTED_SITES = ("ads-track", "spam-farm", "casino-win", "adult-x", "cheap-pills", "free-bets")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(toxicity.training_rows(docs), toxicity.training_rows(labels))
+    return toxicity.score(docs, model).select(
+        "doc_id", (language_id.folds(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "spans")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_id.folds(F.col("doc_id"), 3) == 1
+    model = language_id.fit(docs.where(~held_out))
+    return language_id.identify(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -46,4 +62,4 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
-        op5_packing, op6_minhash_dedup, op7_exact_dedup, op9_url_filters)}
+        op1_toxicity, op2_language_id, op5_packing, op6_minhash_dedup, op7_exact_dedup, op9_url_filters)}
