@@ -65,3 +65,18 @@ reach(doc_id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT l.b, r.c FROM rea
 SELECT n.doc_id, n.n AS n_shingles, min(r.c) AS component_id, n.doc_id = min(r.c) AS kept
 FROM n JOIN reach r USING (doc_id) GROUP BY n.doc_id, n.n
 """
+
+ORACLES["op3_embedding_dedup"] = r"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+          AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(vec_id, c) AS (SELECT vec_id, vec_id FROM embeddings
+                     UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.vec_id)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, min(r.c) AS component_id,
+       e.vec_id = min(r.c) AS kept
+FROM embeddings e JOIN reach r USING (vec_id) GROUP BY e.vec_id
+"""

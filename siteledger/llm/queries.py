@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, language_id, minhash_dedup, packing, toxicity, url_filters
+from . import embedding_dedup, exact_dedup, language_id, minhash_dedup, packing, toxicity, url_filters
 from .common import table
 
 # The rules of the url query, and the sites whose pages make up its list.
@@ -31,6 +31,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.link(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -62,4 +67,5 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
-        op1_toxicity, op2_language_id, op5_packing, op6_minhash_dedup, op7_exact_dedup, op9_url_filters)}
+        op1_toxicity, op2_language_id, op3_embedding_dedup, op5_packing,
+        op6_minhash_dedup, op7_exact_dedup, op9_url_filters)}
