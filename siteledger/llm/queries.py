@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import embedding_dedup, exact_dedup, language_id, minhash_dedup, packing, toxicity, url_filters
+from . import embedding_dedup, exact_dedup, language_id, minhash_dedup, packing, substring_dedup, \
+    toxicity, url_filters
 from .common import table
 
 # The rules of the url query, and the sites whose pages make up its list.
@@ -54,6 +55,15 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages as word ranges, with the document and range that stay."""
+    docs = table(spark, sf_dir, "documents")
+    found = substring_dedup.repeats(docs)
+    names = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("th")).distinct()
+    return found.join(names, "th").join(names.select(F.col("doc_id").alias("other_id"), F.col("th").alias("other_th")), "other_th") \
+        .select("doc_id", "start", "end", "other_id", "other_start", "other_end")
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list holds the pages found on sites known for spam."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -68,4 +78,4 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
         op1_toxicity, op2_language_id, op3_embedding_dedup, op5_packing,
-        op6_minhash_dedup, op7_exact_dedup, op9_url_filters)}
+        op6_minhash_dedup, op7_exact_dedup, op8_substring_dedup, op9_url_filters)}
