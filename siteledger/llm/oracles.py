@@ -80,3 +80,13 @@ SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
        e.vec_id = min(r.c) AS kept
 FROM embeddings e JOIN reach r USING (vec_id) GROUP BY e.vec_id
 """
+
+ORACLES["op4_chat_format"] = r"""
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) ORDER BY turn, role, text) AS turns
+      FROM t GROUP BY conv_id),
+g AS (SELECT turns, min(conv_id) AS conv_id, count(*) AS n_equal FROM c GROUP BY turns)
+SELECT a.conv_id, 0 AS part, len(a.turns)::INTEGER AS n_turns, a.n_equal, array_to_string(a.turns, '') AS rendered
+FROM g a WHERE NOT EXISTS (SELECT 1 FROM g b WHERE len(b.turns) > len(a.turns) AND b.turns[1:len(a.turns)] = a.turns)
+"""

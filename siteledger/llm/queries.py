@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import embedding_dedup, exact_dedup, language_id, minhash_dedup, packing, substring_dedup, \
-    toxicity, url_filters
+from . import chat_format, embedding_dedup, exact_dedup, language_id, minhash_dedup, packing, sentencepiece_nbest, \
+    substring_dedup, toxicity, url_filters
 from .common import table
 
 # The rules of the url query, and the sites whose pages make up its list.
@@ -37,6 +37,10 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.render(table(spark, sf_dir, "conversations"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -75,7 +79,16 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "listed")
 
 
+def op10_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each segmentation with hashes of its ids and of the text that they decode to."""
+    encoded = sentencepiece_nbest.encode(table(spark, sf_dir, "documents"))
+    return sentencepiece_nbest.decode(encoded).select(
+        "doc_id", "rank", "score", F.size("ids").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"),
+        F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
-        op1_toxicity, op2_language_id, op3_embedding_dedup, op5_packing,
-        op6_minhash_dedup, op7_exact_dedup, op8_substring_dedup, op9_url_filters)}
+        op1_toxicity, op2_language_id, op3_embedding_dedup, op4_chat_format, op5_packing,
+        op6_minhash_dedup, op7_exact_dedup, op8_substring_dedup, op9_url_filters,
+        op10_sentencepiece_nbest)}
