@@ -77,18 +77,18 @@ def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .select(F.col("digest").alias("_digest"), F.col("doc_id").alias("_lost")).distinct()
     named = heavy.select(F.col("digest").alias("_digest"), F.col("keep_id").alias("_stays"),
                          F.lit(True).alias("_heavy"))
-    marked = docs.withColumn("_digest", F.unhex(F.sha2(normalised(F.col(text)), 256)))
+    # The row travels as one struct, so no column of it can clash with the names used here.
+    marked = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("own_id"),
+                         F.unhex(F.sha2(normalised(F.col(text)), 256)).alias("_digest"))
     light = marked.join(F.broadcast(named), "_digest", "left").where(
-        F.col("_heavy").isNull() | F.col(doc_id).eqNullSafe(F.col("_stays"))) \
-        .drop("_stays", "_heavy").withColumnRenamed("_digest", "_own")
-    kept = light.join(losers, (F.col("_own") == F.col("_digest"))
-                      & F.col(doc_id).eqNullSafe(F.col("_lost")), "left_anti")
+        F.col("_heavy").isNull() | F.col("own_id").eqNullSafe(F.col("_stays"))) \
+        .select("row", "own_id", F.col("_digest").alias("own"))
+    kept = light.join(losers, (F.col("own") == F.col("_digest")) & F.col("own_id").eqNullSafe(F.col("_lost")), "left_anti")
     repeats = keep(rows.groupBy("doc_id", "digest").count().where("count > 1")
-                   .select(F.col("doc_id").alias("_again"), F.col("digest").alias("_digest")),
-                   "repeats")
+                   .select(F.col("doc_id").alias("_again"), F.col("digest").alias("_digest")), "repeats")
     if repeats.isEmpty():
-        return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
-    same = (F.col("_own") == F.col("_digest")) & F.col(doc_id).eqNullSafe(F.col("_again"))
+        return kept.select("row.*")
+    same = (F.col("own") == F.col("_digest")) & F.col("own_id").eqNullSafe(F.col("_again"))
     once = kept.join(repeats, same, "left_anti")
-    first = kept.join(repeats, same, "left_semi").dropDuplicates([doc_id, "_own"])
-    return once.unionAll(first).select(*[F.col(f"`{c}`") for c in docs.columns])
+    first = kept.join(repeats, same, "left_semi").dropDuplicates(["own_id", "own"])
+    return once.unionAll(first).select("row.*")

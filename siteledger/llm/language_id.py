@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .textnum import column_bytes
+from .textnum import chunks, column_bytes
 
 # Bounds of the model: bytes of training text for each language, and languages.
 TRAIN_BYTES = 24_000
@@ -17,6 +17,7 @@ MOST_LANGUAGES = 64
 # Texts are parsed in segments of this many symbols, all of them; a segment's end closes a phrase.
 SEGMENT = 1024
 SEGMENTS_AT_ONCE = 4096
+CHUNK = 4 << 20
 BREAK = 0x20
 
 
@@ -182,9 +183,11 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
         weights = np.array([math.log2(max(2, len(t) // known.n_codes)) for t in known.tables])
         for batch in batches:
             data, offsets = column_bytes(batch.column("text"))
-            symbols, ends = fold(data, offsets)
-            counts = known.phrases(symbols, ends) if known.tables else np.zeros((len(batch), 0))
-            rates = counts * weights / np.maximum(1, np.diff(ends))[:, None]
+            made = [np.zeros((0, len(known.tables)))]
+            for a, b in chunks(offsets, CHUNK):
+                symbols, ends = fold(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                made.append(known.phrases(symbols, ends) * weights / np.maximum(1, np.diff(ends))[:, None])
+            rates = np.concatenate(made)
             letters = batch.column("letters").to_pylist()
             pred, score = [], []
             for some, rate in zip(letters, rates, strict=True):

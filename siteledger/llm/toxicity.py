@@ -12,14 +12,14 @@ from .language_id import folds
 from .textnum import LOWER, U64, chunks, column_bytes, mix, word_hashes, words
 
 # Bounds of the training sample: documents of each class, bytes of one document.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 1500, 3000, 50_000
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 900, 1500, 16_000
 TABLE_BITS = 18
 PREFIXES = (4, 5, 6, 7)
 WINDOW = 64
 STEPS = 100
 # Features of so few words in the training sample get no weight.
 RARE = 4
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 # ASCII characters that are no letters part words.
 APART = np.zeros(256, bool)
 APART[:128] = True
@@ -36,11 +36,11 @@ def fold(data: np.ndarray) -> np.ndarray:
 
 
 def features(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes (words x features) of each word and of its first bytes."""
+    """32-bit hashes (words x features) of each word and of its first bytes."""
     made = [word_hashes(data, start, end)]
     for k, size in enumerate(PREFIXES):
         made.append(mix(word_hashes(data, start, np.minimum(end, start + size)) + U64(k + 1)))
-    return np.stack(made, axis=1)
+    return (np.stack(made, axis=1) >> U64(32)).astype(np.uint32)
 
 
 def chain(emission: np.ndarray, begin: np.ndarray, length: np.ndarray, switch: np.ndarray
@@ -86,7 +86,7 @@ class Model:
     layer: np.ndarray
 
     def emission(self, hashed: np.ndarray) -> np.ndarray:
-        return self.weights[(hashed >> U64(64 - TABLE_BITS)).astype(np.int64)].sum(axis=1) + self.bias
+        return self.weights[hashed >> np.uint32(32 - TABLE_BITS)].sum(axis=1) + self.bias
 
     def tokens(self, data: np.ndarray, offsets: np.ndarray):
         """Start, end, row and posterior log-odds of every word; each text is one chain."""
@@ -152,8 +152,8 @@ def _train_chain(hashed: np.ndarray, row: np.ndarray, labels: np.ndarray) -> tup
     head, size = head[chosen], size[chosen]
     begin = np.cumsum(size) - size
     at = np.repeat(head - begin, size) + np.arange(int(size.sum()))
-    slot = (hashed[at] >> U64(64 - TABLE_BITS)).astype(np.int64)
-    uses = np.bincount((hashed >> U64(64 - TABLE_BITS)).astype(np.int64).ravel(), minlength=1 << TABLE_BITS)
+    slot = hashed[at] >> np.uint32(32 - TABLE_BITS)
+    uses = np.bincount((hashed >> np.uint32(32 - TABLE_BITS)).ravel(), minlength=1 << TABLE_BITS)
     shared = (uses > RARE).astype(float)
     truth = labels[at].astype(float)
     weights, bias, switch = np.zeros(1 << TABLE_BITS), float(np.log((truth.sum() + 1) / (len(truth) + 1))), np.zeros(4)
@@ -200,21 +200,31 @@ def _train_layer(x: np.ndarray, toxic: np.ndarray, share: float) -> np.ndarray:
 
 
 def train(texts: list[str], toxic: list[int], share: float) -> Model | None:
-    """Model of labelled texts; None unless both classes occur."""
+    """Model of labelled texts; None unless both classes occur.
+
+    Of each class two thirds train the chain; the document layer learns from the others, whose
+    marginals are like those of new texts (from all of them if the others lack a class).
+    """
     marks = np.array(toxic, bool)
     if not marks.any() or marks.all():
         return None
-    data, offsets = column_bytes(pa.array(texts, pa.string()))
+    turn = np.zeros(len(marks), int)
+    for mark in (False, True):
+        turn[marks == mark] = np.arange((marks == mark).sum())
+    for_chain = turn % 3 != 2
+    data, offsets = column_bytes(pa.array([t for t, c in zip(texts, for_chain, strict=True) if c], pa.string()))
     folded = fold(data)
     start, end, row = words(folded, offsets, APART)
     if not len(row):
         return None
     hashed = features(folded, start, end)
-    labels = label_tokens(hashed, row, marks)
+    labels = label_tokens(hashed, row, marks[for_chain])
     weights, bias, switch = _train_chain(hashed, row, labels)
     model = Model(weights, bias, switch, np.zeros(4))
+    for_layer = ~for_chain if len(set(marks[~for_chain])) == 2 else np.ones(len(marks), bool)
+    data, offsets = column_bytes(pa.array([t for t, c in zip(texts, for_layer, strict=True) if c], pa.string()))
     row, logit = model.tokens(data, offsets)[2:]
-    model.layer = _train_layer(summary(row, logit, len(texts)), marks, share)
+    model.layer = _train_layer(summary(row, logit, int(for_layer.sum())), marks[for_layer], share)
     return model
 
 
@@ -223,7 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """Model from a bounded sample of labelled rows, the first of each class in a hash order.
 
     Null ids and labels are not used; an id labelled more than once is toxic if one label says so.
-    Texts over ``most_bytes`` and null texts are not used.  The sample's ids, at most
+    Texts over ``most_bytes`` and null texts are not used, equal texts once.  The sample's ids, at most
     ``most_toxic + most_clean``, are broadcast; the classes' shares are counted over all labels.
     """
     marked = labels.where(F.col(doc_id).isNotNull() & F.col(toxic).isNotNull()) \
@@ -234,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         .unionAll(marked.where("not _toxic").orderBy(order, "_id").limit(most_clean))
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")) \
         .where(F.octet_length("text") <= most_bytes).join(F.broadcast(picked), "_id") \
-        .dropDuplicates(["_id", "text"]).select("_id", "text", "_toxic").collect()
+        .groupBy("text").agg(F.min("_id").alias("_id"), F.max("_toxic").alias("_toxic")).collect()
     rows.sort(key=lambda r: (str(r["_id"]), r["text"]))
     return train([r["text"] for r in rows], [r["_toxic"] for r in rows], n_toxic / max(1, n_all))
 
@@ -290,6 +300,26 @@ def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: st
         run, f"doc_id {kind}, score double, spans array<struct<start: int, end: int, marginal: double>>")
 
 
+def drop_toxic(docs: DataFrame, model: Model | None, text: str = "text", least: float = 0.5) -> DataFrame:
+    """Documents that score below ``least``, with all their columns; nothing is shuffled.  Scores as in ``score``."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def score_of(texts: pa.Array) -> pa.Array:
+        known = sent.value
+        data, offsets = column_bytes(texts)
+        scores = [np.zeros(0)]
+        for a, b in chunks(offsets, CHUNK):
+            if known is None:
+                scores.append(np.zeros(b - a))
+            else:
+                *_, row, logit = known.tokens(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                scores.append(known.scores(row, logit, b - a))
+        return pa.array(np.concatenate(scores))
+
+    return docs.where(score_of(F.col(text)) < least)
+
+
 def training_rows(rows: DataFrame, doc_id: str = "doc_id", parts: int = 5) -> DataFrame:
     """Rows that are not held out (crc32 of the id's text modulo ``parts`` is not 0)."""
     return rows.where(folds(F.col(doc_id), parts) != 0)
