@@ -23,12 +23,12 @@ def _usable(vector: str) -> F.Column:
     return F.coalesce(finite & F.exists(numbers, lambda x: x != 0), F.lit(False))
 
 
-def _rows(group: pa.ChunkedArray) -> np.ndarray:
-    """A column of equal-length double vectors as a matrix of unit vectors.
+def _units(vectors: list[bytes]) -> np.ndarray:
+    """Double vectors of equal length as a matrix of unit vectors.
 
     They are scaled by their largest component first, so that neither huge nor tiny ones lose the sum of squares.
     """
-    found = np.frombuffer(b"".join(group.to_pylist()), np.float64).reshape(len(group), -1)
+    found = np.frombuffer(b"".join(vectors), np.float64).reshape(len(vectors), -1)
     found = found / np.abs(found).max(axis=1, keepdims=True)
     return found / np.sqrt((found * found).sum(axis=1, keepdims=True))
 
@@ -49,7 +49,7 @@ def _codes(passes: int, bits: int):
         sizes = np.array([len(x) // 8 for x in raw])
         for size in np.unique(sizes):
             at = np.flatnonzero(sizes == size)
-            unit = _rows(pa.chunked_array([pa.array([raw[i] for i in at], pa.binary())]))
+            unit = _units([raw[i] for i in at])
             for k in range(passes):
                 planes = np.random.default_rng([k, int(size)]).standard_normal((size, bits))
                 out[at, k] = (unit @ planes > 0) @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int64))
@@ -85,14 +85,19 @@ def _neighbours(least: float, window: int, block: int):
     """Links among successors in a block, as a spanning set of its pairs."""
     def work(rows: pa.Table) -> pa.RecordBatch:
         ids, of, place = (rows.column(c).to_numpy() for c in ("id", "series", "place"))
-        unit = _rows(rows.column("v"))
+        vectors = rows.column("v").to_pylist()
+        sizes = np.array([len(v) for v in vectors])
         left, right = [], []
-        for step in range(1, min(window, len(ids) - 1) + 1):
-            near = (unit[:-step] * unit[step:]).sum(axis=1) >= least
-            near &= (of[:-step] == of[step:]) & (place[:-step] < block)
-            hit = np.flatnonzero(near)
-            left.append(ids[hit])
-            right.append(ids[hit + step])
+        # A series has vectors of one length, a block may hold several series.
+        for size in np.unique(sizes):
+            at = np.flatnonzero(sizes == size)
+            unit = _units([vectors[k] for k in at])
+            for step in range(1, min(window, len(at) - 1) + 1):
+                near = (unit[:-step] * unit[step:]).sum(axis=1) >= least
+                near &= (of[at[:-step]] == of[at[step:]]) & (place[at[:-step]] < block)
+                hit = np.flatnonzero(near)
+                left.append(ids[at[hit]])
+                right.append(ids[at[hit + step]])
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
         node, root = roots_of(a, b) if len(a) else (a, b)
         moved = node != root
@@ -104,7 +109,7 @@ def _counts(least: float):
     """For each asking vector of a group, the vectors it is linked to, each with its copies."""
     def work(rows: pa.Table) -> pa.RecordBatch:
         ids, asks, copies = (rows.column(c).to_numpy() for c in ("id", "asks", "copies"))
-        unit = _rows(rows.column("v"))
+        unit = _units(rows.column("v").to_pylist())
         linked = unit[asks] @ unit[~asks].T >= least
         linked &= ids[asks][:, None] != ids[~asks][None, :]
         return pa.RecordBatch.from_arrays([pa.array(ids[asks]), pa.array(linked @ copies[~asks])], ["id", "n"])

@@ -121,13 +121,17 @@ class Model:
                 found = np.zeros(len(first), np.int64)
                 state = np.zeros(len(first), np.int32)
                 root = np.maximum(table[:self.n_codes], 0)
+                alone = (table[:self.n_codes] < 0).astype(np.int64)
                 for step, m in enumerate(alive):
-                    symbol = grid[step, :m]
-                    to = table[state[:m] * self.n_codes + symbol]
-                    miss = to < 0
-                    found[:m] += miss
-                    state[:m] = np.where(miss, root[symbol], to)
-                np.add.at(out[:, lang], row[a:a + SEGMENTS_AT_ONCE], found + 1)
+                    symbol, at = grid[step, :m], state[:m]
+                    to = table[at * self.n_codes + symbol]
+                    miss = np.flatnonzero(to < 0)
+                    # A phrase ends; a symbol that the language lacks is one of its own.
+                    lost = symbol[miss]
+                    found[miss] += (at[miss] > 0) + alone[lost]
+                    to[miss] = root[lost]
+                    state[:m] = to
+                np.add.at(out[:, lang], row[a:a + SEGMENTS_AT_ONCE], found + (state > 0))
         return out
 
 

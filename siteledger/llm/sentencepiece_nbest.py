@@ -77,31 +77,38 @@ class Pieces:
         return ends, ahead
 
     def best(self, chunk: str, count: int, cutoff: float = math.inf) -> list[tuple[float, tuple[int, ...]]]:
-        """The ``count`` best segmentations of a chunk that score at most ``cutoff`` below the best, by score, then ids.
+        """The ``count`` best segmentations of a chunk that score at most ``cutoff`` below the best.
 
         A forward Viterbi pass gives the best score of each prefix.  Backward A* from the chunk's end uses it as
         the estimate of what is left; being exact, it makes complete paths leave the queue in order of
-        score, and it never enters a path that ends below the cutoff.  Paths as good as the last one wanted all
-        leave before the search stops, so that ids can break ties.
+        score, and it never enters a path that ends below the cutoff.  A position is left at most ``count``
+        times, as more ways from it to the end can't be among the best, so ties (a long run of one letter has any
+        number) cost no more than other texts.  Equal scores come in the order of the search, always the same.
         """
         ends, ahead = self.forward(chunk)
         least = ahead[-1] - cutoff
-        queue = [(-ahead[-1], len(chunk), 0.0, ())]
+        queue: list[tuple] = [(-ahead[-1], 0, len(chunk), 0.0, None)]
+        left = [0] * len(ends)
         done: list[tuple[float, tuple[int, ...]]] = []
-        pop, push = heapq.heappop, heapq.heappush
-        while queue:
-            key, at, score, path = pop(queue)
-            if len(done) >= count and -key < done[count - 1][0]:
-                break
+        pop, push, turn = heapq.heappop, heapq.heappush, 0
+        while queue and len(done) < count:
+            _, _, at, score, path = pop(queue)
             if not at:
-                done.append((score, path))
+                ids: list[int] = []
+                while path is not None:
+                    ids += path[0]
+                    path = path[1]
+                done.append((score, tuple(ids)))
                 continue
-            for i, ids, s in ends[at]:
+            if left[at] >= count:
+                continue
+            left[at] += 1
+            for i, ids_, s in ends[at]:
                 whole = score + s + ahead[i]
                 if whole >= least:
-                    push(queue, (-whole, i, score + s, ids + path))
-        done.sort(key=lambda d: (-d[0], d[1]))
-        return done[:count]
+                    turn += 1
+                    push(queue, (-whole, turn, i, score + s, (ids_, path)))
+        return done
 
 
 class Encoder:
