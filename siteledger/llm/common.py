@@ -12,8 +12,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..sources.landing import pin
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers find this package where it is not installed but lies on a shared path."""
+# Rows of an Arrow batch where the session leaves Spark's 10,000: rows are whole texts or sets here, and a
+# worker and the JVM each hold several batches.
+BATCH_ROWS, BATCH_SETTING = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Bound Arrow batches, and let Python workers find this package where it lies on a shared path only."""
+    if spark.conf.get(BATCH_SETTING, "10000") == "10000":
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     known = env.get("PYTHONPATH", "").split(os.pathsep)
@@ -22,7 +29,7 @@ def importable(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .bloom import listed_or_not
 from .common import keep
 
 # The white space that does not count when texts are compared.
@@ -66,15 +67,16 @@ def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 counters: int = 1000) -> DataFrame:
     """The documents that stay, with all their columns unchanged.
 
-    Copies of a frequent text go on the map side, before any text is shuffled; the others
-    by an anti-join with the rows that lose.  Rows repeated with the same id and text are one
+    Copies of a frequent text go on the map side, before any text is shuffled; the others by an
+    anti-join with the rows that lose, which only rows that may be among them take part in.  Rows repeated with the same id and text are one
     document, of which one row stays.  Otherwise as ``find_copies``.
     """
     rows = keep(digests(docs, doc_id, text), "digests")
     heavy, rest = _split(rows, counters)
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    losers = rest.join(winners(rest), "digest").where(~stays) \
-        .select(F.col("digest").alias("_digest"), F.col("doc_id").alias("_lost")).distinct()
+    losers = keep(rest.join(winners(rest), "digest").where(~stays).select(
+        F.xxhash64("digest", "doc_id").alias("h"), F.col("digest").alias("_digest"), F.col("doc_id").alias("_lost"))
+        .distinct(), "losers")
     named = heavy.select(F.col("digest").alias("_digest"), F.col("keep_id").alias("_stays"),
                          F.lit(True).alias("_heavy"))
     # The row travels as one struct, so no column of it can clash with the names used here.
@@ -82,8 +84,10 @@ def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                          F.unhex(F.sha2(normalised(F.col(text)), 256)).alias("_digest"))
     light = marked.join(F.broadcast(named), "_digest", "left").where(
         F.col("_heavy").isNull() | F.col("own_id").eqNullSafe(F.col("_stays"))) \
-        .select("row", "own_id", F.col("_digest").alias("own"))
-    kept = light.join(losers, (F.col("own") == F.col("_digest")) & F.col("own_id").eqNullSafe(F.col("_lost")), "left_anti")
+        .select("row", "own_id", F.col("_digest").alias("own"), F.xxhash64("_digest", "own_id").alias("h"))
+    maybe, sure = listed_or_not(light, "h", losers)
+    kept = maybe.join(losers.drop("h"), (F.col("own") == F.col("_digest")) & F.col("own_id").eqNullSafe(F.col("_lost")),
+                      "left_anti").unionAll(sure)
     repeats = keep(rows.groupBy("doc_id", "digest").count().where("count > 1")
                    .select(F.col("doc_id").alias("_again"), F.col("digest").alias("_digest")), "repeats")
     if repeats.isEmpty():

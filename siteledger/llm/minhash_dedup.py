@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .bloom import listed_or_not
 from .common import components, keep
 from .textnum import GOLDEN, LOWER, U64, chunks, column_bytes, distinct, mix, sequence_keys, shingles, \
     times, word_hashes, words
@@ -55,8 +56,8 @@ def superminhash(values: np.ndarray, row: np.ndarray, n_rows: int, size: int, se
 
 
 def short(signature: np.ndarray) -> np.ndarray:
-    """16 bits of each slot: enough to tell slots apart, a quarter of the space."""
-    return mix(signature).astype(np.uint16)
+    """8 bits of each slot: unequal slots agree once in 256, and signatures take an eighth of the space."""
+    return mix(signature).astype(np.uint8)
 
 
 def bands_of(slots: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -71,7 +72,7 @@ def bands_of(slots: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def _sets(column: pa.Array, width: int) -> Iterator[tuple]:
     """For ranges of rows: their number, sequence keys, distinct shingles and the rows of these."""
     data, offsets = column_bytes(column)
-    for a, b in chunks(offsets):
+    for a, b in chunks(offsets, 1 << 19):
         text = LOWER[data[offsets[a]:offsets[b]]]
         start, end, row = words(text, offsets[a:b + 1] - offsets[a])
         hashes = word_hashes(text, start, end)
@@ -89,15 +90,16 @@ def _signatures(width: int, slots: int):
                 made += map(np.ndarray.tobytes, short(superminhash(value, of, n, slots)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("th"), pa.array(keys, pa.binary()),
+                 pa.array(np.frombuffer(b"".join(keys), np.int64)[::2]),
                  pa.array(np.concatenate(counts), pa.int64()), pa.array(made, pa.binary())],
-                names=["doc_id", "th", "key", "n", "slots"])
+                names=["doc_id", "th", "key", "id", "n", "slots"])
     return run
 
 
 def _bands(bands: int, rows: int):
     @F.arrow_udf("array<bigint>")
     def keys(slots: pa.Array) -> pa.Array:
-        made = np.frombuffer(b"".join(slots.to_pylist()), np.uint16).reshape(-1, bands * rows)
+        made = np.frombuffer(b"".join(slots.to_pylist()), np.uint8).reshape(-1, bands * rows)
         return pa.array(list(bands_of(made, bands, rows)), pa.list_(pa.int64()))
     return keys
 
@@ -115,83 +117,122 @@ def _full_sets(width: int):
     return full_set
 
 
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted arrays of distinct values."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return int((b[at] == a).sum()) if len(b) else 0
+
+
 def _linked(percent: int):
     @F.arrow_udf("boolean")
     def linked(left: pa.Array, right: pa.Array) -> pa.Array:
         out = []
         for x, y in zip(left, right, strict=True):
             a, b = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
-            both = len(np.intersect1d(a, b, assume_unique=True))
+            both = _common(a, b)
             out.append(100 * both >= percent * (len(a) + len(b) - both))
         return pa.array(out, pa.bool_())
     return linked
 
 
+def _alike(percent: int, slots: int):
+    @F.arrow_udf("boolean")
+    def alike(left: pa.Array, right: pa.Array) -> pa.Array:
+        a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, slots) for x in (left, right))
+        return pa.array((a == b).sum(axis=1) >= (percent / 100 - MARGIN) * slots)
+    return alike
+
+
+def _halves():
+    """Sets with 32 bits of each value, sorted: for a first comparison at half the volume."""
+    @F.arrow_udf("binary")
+    def halves(items: pa.Array) -> pa.Array:
+        return pa.array([np.sort(np.frombuffer(x.as_buffer(), U64).astype(np.uint32)).tobytes() for x in items],
+                        pa.binary())
+    return halves
+
+
 def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4,
                slots: int = BANDS * ROWS_PER_BAND) -> DataFrame:
-    """doc_id, th (hash of id and text), key (of the word sequence), n (set size), slots (16 bits each)."""
+    """doc_id, th (hash of id and text), key (128 bits of the word sequence), id (64 of these), n (set size),
+    slots (8 bits each)."""
     kind = docs.select(F.col(doc_id).alias("doc_id")).schema["doc_id"].dataType.simpleString()
     given = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id, text).alias("th"),
                         F.col(text).alias("text"))
     return given.mapInArrow(_signatures(width, slots),
-                            f"doc_id {kind}, th bigint, key binary, n bigint, slots binary")
+                            f"doc_id {kind}, th bigint, key binary, id bigint, n bigint, slots binary")
 
 
-def _verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, width: int,
-            percent: int) -> DataFrame:
-    """The pairs (a, b) of node keys that are linked, by their full sets.
+def _shared_buckets(buckets: DataFrame) -> DataFrame:
+    """Rows of the buckets with two or more members, with the bucket's hub: its member of least id,
+    a random one.  Only these rows are looked at from here on."""
+    hubs = buckets.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("m")) \
+        .where("m > 1").select("bucket", "hub")
+    return buckets.join(hubs, "bucket")
 
-    Only nodes that occur in a pair have their text shuffled, once, and their set made there.
-    A pair meets its hub's set first (a hot hub is a skewed join, split at run time), then
-    moves to the other node.
-    """
-    ends = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b"))).distinct()
-    named = keep(nodes.join(ends, "key").select("key", "th"), "ends")
+
+def _sets_of(shared: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
+    """id, key and full set of the nodes in shared buckets; a Bloom filter lets hardly any other text be shuffled."""
+    named = keep(nodes.join(shared.select("id").distinct(), "id", "left_semi").select("id", "key", "th"), "named")
     given = docs.select(F.xxhash64(doc_id, text).alias("th"), F.col(text).alias("text"))
-    texts = given.join(named.select("th").distinct(), "th", "left_semi").dropDuplicates(["th"])
-    sets = texts.select("th", _full_sets(width)("text").alias("set"))
-    by_th = pairs.join(named.select(F.col("key").alias("a"), F.col("th").alias("a_th")), "a") \
-        .join(named.select(F.col("key").alias("b"), F.col("th").alias("b_th")), "b")
-    left = sets.select(F.col("th").alias("a_th"), F.col("set").alias("a_set"))
-    right = sets.select(F.col("th").alias("b_th"), F.col("set").alias("b_set"))
-    met = keep(by_th, "placed-pairs").join(left, "a_th").join(right, "b_th")
-    # A node's set is found by a 64-bit hash; its 128-bit key says that it is the right one.
-    right_ones = (F.col("a") == F.col("a_set.key")) & (F.col("b") == F.col("b_set.key"))
-    return met.where(right_ones & _linked(percent)("a_set.items", "b_set.items")).select("a", "b").distinct()
-
-
-def _hub_pairs(buckets: DataFrame, percent: int) -> DataFrame:
-    """Each bucket's members with its hub, the member with the least key (a random order)."""
-    hubs = buckets.groupBy("bucket").agg(
-        F.min(F.struct("key", "n")).alias("hub"), F.count("*").alias("members")).where("members > 1") \
-        .select("bucket", F.col("hub.key").alias("a"), F.col("hub.n").alias("a_n"))
-    pairs = buckets.join(hubs, "bucket").where(F.col("key") != F.col("a"))
-    small, large = F.least("a_n", "n"), F.greatest("a_n", "n")
-    return pairs.where(100 * small >= percent * large).select("a", F.col("key").alias("b")).distinct()
-
-
-def _open_buckets(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of the buckets whose members are not all of one component, with their component and
-    whether that is the bucket's largest (``main``), and the bucket's numbers of both kinds."""
-    rooted = buckets.join(roots.select(F.col("node").alias("key"), "root"), "key", "left") \
-        .withColumn("root", F.coalesce("root", "key"))
+    maybe, _ = listed_or_not(given, "th", named)
+    made = maybe.join(named, "th").dropDuplicates(["th", "key"]) \
+        .select("id", "key", _full_sets(width)("text").alias("made"))
+    # A text is found by a 64-bit hash; its 128-bit key says that it is the right one.
+    return made.where(F.col("key") == F.col("made.key")).select("id", "key", F.col("made.items").alias("items"))
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Keys (a, b) of the linked pairs among candidate pairs of ids, by the full sets."""
+    left = sets.select(F.col("id").alias("a_id"), F.col("key").alias("a"), F.col("items").alias("a_items"))
+    right = sets.select(F.col("id").alias("b_id"), F.col("key").alias("b"), F.col("items").alias("b_items"))
+    met = pairs.join(left, "a_id").join(right, "b_id")
+    return met.where(_linked(percent)("a_items", "b_items")).select("a", "b")
+
+
+def _hub_pairs(shared: DataFrame, nodes: DataFrame, percent: int, slots: int) -> DataFrame:
+    """Members with their bucket's hub, if sizes and signatures allow a link: as many as members at most."""
+    pairs = shared.where("id != hub").select(F.col("hub").alias("a_id"), F.col("id").alias("b_id")).distinct()
+    marks = nodes.select("id", "n", "slots")
+    met = pairs.join(marks.withColumnsRenamed({"id": "a_id", "n": "a_n", "slots": "a_slots"}), "a_id") \
+        .join(marks.withColumnsRenamed({"id": "b_id", "n": "b_n", "slots": "b_slots"}), "b_id")
+    return met.where(100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")) \
+        .where(_alike(percent, slots)("a_slots", "b_slots")).select("a_id", "b_id")
+
+
+def _open_buckets(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members, without the hub, of the buckets where these are not all of one component yet, with their
+    component, whether it is the bucket's largest (``main``), and the numbers of all and other members."""
+    rooted = shared.where("id != hub").select("bucket", "id").join(roots, "id", "left") \
+        .withColumn("root", F.coalesce("root", "id"))
     split = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n_root")).groupBy("bucket").agg(
         F.max(F.struct("n_root", "root")).alias("top"), F.sum("n_root").alias("members")) \
         .where("members > top.n_root")
     return rooted.join(split, "bucket").select(
-        "bucket", "key", "n", "root", (F.col("root") == F.col("top.root")).alias("main"), "members",
+        "bucket", "id", "root", (F.col("root") == F.col("top.root")).alias("main"), "members",
         (F.col("members") - F.col("top.n_root")).alias("minor"))
 
 
-def _screen(percent: int, size: int):
-    """Pairs of different components in a group whose sizes and signatures allow a link."""
+def _join_components(percent: int, bands: int, rows: int):
+    """Pairs that link different components of a group: at most one for each component that is joined.
+
+    The asking members meet the others one after the other.  A pair is compared in the first
+    band that it shares, by signature and then by its sets of 32-bit values; what is linked is united at once, so
+    that members of one component are not compared any more.
+    """
+    size = bands * rows
     enough = (percent / 100 - MARGIN) * size
 
     def pairs(group: pa.Table) -> tuple[list, list]:
-        slots = np.frombuffer(b"".join(group.column("slots").to_pylist()), np.uint16).reshape(-1, size)
-        asks = group.column("asks").to_numpy()
-        n, root, key = (np.array(group.column(c).to_pylist(), dtype=object if c != "n" else np.int64)
-                        for c in ("n", "root", "key"))
+        slots = np.frombuffer(b"".join(group.column("slots").to_pylist()), np.uint8).reshape(-1, size)
+        keys = bands_of(slots, bands, rows)
+        items = [np.frombuffer(x, np.uint32) for x in group.column("items").to_pylist()]
+        n = np.array([len(x) for x in items])
+        asks, ids, root, bucket = (group.column(c).to_numpy() for c in ("asks", "id", "root", "bucket"))
+        root = root.copy()
         start = np.flatnonzero(np.r_[True, np.diff(group.column("g").to_numpy()) != 0])
         left, right = [], []
         for a, b in zip(start, np.r_[start[1:], len(n)], strict=True):
@@ -200,49 +241,57 @@ def _screen(percent: int, size: int):
                 close = 100 * np.minimum(n[those], n[one]) >= percent * np.maximum(n[those], n[one])
                 others = those[close & (root[those] != root[one])]
                 others = others[(slots[others] == slots[one]).sum(axis=1) >= enough]
-                left += [min(key[one], k) for k in key[others]]
-                right += [max(key[one], k) for k in key[others]]
+                for other in others:
+                    if root[other] == root[one] or keys[one, np.argmax(keys[one] == keys[other])] != bucket[one]:
+                        continue
+                    both = _common(items[one], items[other])
+                    if 100 * both >= percent * (n[one] + n[other] - both):
+                        left.append(ids[one])
+                        right.append(ids[other])
+                        root[a:b][root[a:b] == root[other]] = root[one]
         return left, right
 
     def run(batches):
         held = None
+
+        def out(rows: pa.Table) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in pairs(rows)], ["a_id", "b_id"])
+
         for batch in batches:
             rows = pa.Table.from_batches([batch])
             held = rows if held is None else pa.concat_tables([held, rows])
             groups = held.column("g").to_numpy()
-            cut = int(np.searchsorted(groups, groups[-1]))
+            cut = int(np.searchsorted(groups, groups[-1])) if len(groups) else 0
             if cut:
-                left, right = pairs(held.slice(0, cut))
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+                yield out(held.slice(0, cut))
                 held = held.slice(cut)
         if held is not None and held.num_rows:
-            left, right = pairs(held)
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+            yield out(held)
     return run
 
 
-def _other_pairs(opened: DataFrame, nodes: DataFrame, percent: int, slots: int) -> DataFrame:
-    """The pairs of open buckets that could still join components.
+def _other_pairs(opened: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, bands: int, rows: int) -> DataFrame:
+    """Candidate links between components in open buckets.
 
     In each bucket the members outside its main component meet all members, in groups of at
-    most BLOCK by BLOCK; a group compares signatures as arrays and gives out only close pairs, so a
-    large bucket makes more groups, not larger ones, and no list of all its pairs.
+    most BLOCK by BLOCK: a large bucket makes more groups, not larger ones, and a group gives out
+    only what joins components, never a list of its pairs.
     """
-    with_slots = opened.join(nodes.select("key", "slots"), "key")
     def blocks(count: str):
         return F.ceil(F.col(count) / BLOCK).cast("int")
+
     def block(count: str):
-        return F.pmod(F.xxhash64("key"), blocks(count)).cast("int")
-    columns = ["key", "n", "root", "slots"]
-    asking = with_slots.where(~F.col("main")).withColumn("i", block("minor")) \
+        return F.pmod(F.xxhash64("id"), blocks(count)).cast("int")
+
+    carried = nodes.select("id", "slots").join(sets.select("id", _halves()("items").alias("items")), "id")
+    asking = opened.where(~F.col("main")).withColumn("i", block("minor")) \
         .withColumn("j", F.explode(F.sequence(F.lit(0), blocks("members") - 1)))
-    asked = with_slots.withColumn("j", block("members")) \
+    asked = opened.withColumn("j", block("members")) \
         .withColumn("i", F.explode(F.sequence(F.lit(0), blocks("minor") - 1)))
-    group = F.xxhash64("bucket", "i", "j").alias("g")
-    both = asking.select(group, F.lit(True).alias("asks"), *columns) \
-        .unionAll(asked.select(group, F.lit(False).alias("asks"), *columns))
-    return both.repartition("g").sortWithinPartitions("g") \
-        .mapInArrow(_screen(percent, slots), "a binary, b binary").distinct()
+    columns = ["id", "root", "bucket", F.xxhash64("bucket", "i", "j").alias("g")]
+    both = asking.select(F.lit(True).alias("asks"), *columns).unionAll(asked.select(F.lit(False).alias("asks"), *columns))
+    placed = both.join(carried, "id").repartition("g").sortWithinPartitions("g")
+    return placed.mapInArrow(_join_components(percent, bands, rows), "a_id bigint, b_id bigint").distinct()
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4,
@@ -269,16 +318,19 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     slots = bands * rows
     made = keep(signatures(docs, doc_id, text, width, slots), "signatures")
     full = made.where("n > 0")
-    nodes = keep(full.groupBy("key").agg(F.min(F.struct("doc_id", "th")).alias("rep"),
+    nodes = keep(full.groupBy("key").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.first("id").alias("id"),
                                          F.first("n").alias("n"), F.first("slots").alias("slots"))
-                 .select("key", F.col("rep.th").alias("th"), "n", "slots"), "nodes")
-    buckets = nodes.select(F.explode(_bands(bands, rows)("slots")).alias("bucket"), "key", "n")
-    pairs = keep(_hub_pairs(buckets, percent), "hub-pairs")
-    links = keep(_verify(pairs, nodes, docs, doc_id, text, width, percent), "hub-links")
-    opened = keep(_open_buckets(buckets, components(links)), "open-buckets")
-    pairs = keep(_other_pairs(opened, nodes, percent, slots), "other-pairs")
-    links = links.union(keep(_verify(pairs, nodes, docs, doc_id, text, width, percent), "other-links"))
-    roots = components(links)
+                 .select("key", F.col("rep.th").alias("th"), "id", "n", "slots"), "nodes")
+    buckets = nodes.select(F.explode(_bands(bands, rows)("slots")).alias("bucket"), "id")
+    shared = keep(_shared_buckets(buckets), "shared-buckets")
+    sets = keep(_sets_of(shared, nodes, docs, doc_id, text, width), "sets")
+    links = keep(_verify(keep(_hub_pairs(shared, nodes, percent, slots), "hub-pairs"), sets, percent), "hub-links")
+    by_id = nodes.select("key", "id")
+    roots = components(links).join(by_id.withColumnRenamed("key", "node"), "node") \
+        .join(by_id.select(F.col("key").alias("root"), F.col("id").alias("root_id")), "root")
+    opened = keep(_open_buckets(shared, roots.select("id", F.col("root_id").alias("root"))), "open-buckets")
+    others = keep(_other_pairs(opened, nodes, sets, percent, bands, rows), "other-pairs")
+    roots = components(links.union(_verify(others, sets, percent)))
     members = full.select("doc_id", "n", "key").join(roots.select(F.col("node").alias("key"), "root"), "key", "left") \
         .withColumn("root", F.coalesce("root", "key"))
     least = members.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -297,5 +349,9 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     found = classes(docs, doc_id, text, width, percent)
     losers = found.where(F.col("component_id").isNotNull()
                          & ~F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .select(F.col("doc_id").alias("_lost")).distinct()
-    return docs.join(losers, F.col(doc_id).eqNullSafe(F.col("_lost")), "left_anti")
+        .select(F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("lost")).distinct()
+    rows = docs.select(F.xxhash64(doc_id).alias("h"), F.col(doc_id).alias("own_id"), F.struct("*").alias("row"))
+    losers = keep(losers, "losers")
+    maybe, sure = listed_or_not(rows, "h", losers)
+    kept = maybe.join(losers.drop("h"), F.col("own_id").eqNullSafe(F.col("lost")), "left_anti")
+    return sure.unionAll(kept).select("row.*")

@@ -18,6 +18,7 @@ SPACE = "▁"
 # The score of a byte piece, which stands in for a character without a piece, below all others.
 BYTE_PENALTY = 10.0
 CACHE_CHUNKS = 160_000
+LEAST_CUTOFF = 256.0
 # Chunks end before a space, and between a letter and an ASCII mark.  No piece crosses either (``Pieces`` makes sure),
 # so a text's segmentations are those of its chunks side by side.
 LETTER, MARK = r"[^\W\d_²³¹]", r"[!-/:-@\[-`{-~\n]"
@@ -119,14 +120,17 @@ class Encoder:
         self.new: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
 
-    def chunk(self, chunk: str, cutoff: float) -> tuple[bytes, list[tuple[float, bytes]], float, float]:
-        """Best ids, other segmentations with their loss, best score, and the loss up to which these are known."""
-        found = self.old.get(chunk)
+    def chunk(self, chunk: str, cutoff: float) -> tuple[bytes, list[tuple[float, bytes]], float, float, float]:
+        """Best ids, other segmentations with their loss, best score, the loss up to which these are known, least loss."""
+        found = self.new.get(chunk) or self.old.get(chunk)
         if found is None or found[3] < cutoff:
+            # A generous limit serves most later texts too.
+            cutoff = max(cutoff, LEAST_CUTOFF)
             ranked = [(s, array("i", ids).tobytes()) for s, ids in self.pieces.best(chunk, self.count, cutoff)]
             top = ranked[0][0]
             known = cutoff if len(ranked) < self.count else math.inf
-            found = ranked[0][1], [(top - s, ids) for s, ids in ranked[1:]], top, known
+            others = [(top - s, ids) for s, ids in ranked[1:]]
+            found = ranked[0][1], others, top, known, others[0][0] if others else math.inf
         if len(self.new) >= CACHE_CHUNKS:
             self.old, self.new = self.new, {}
         self.new[chunk] = found
@@ -144,23 +148,22 @@ class Encoder:
         chunks = CHUNK.findall(" " + text)
         found = list(map(self.new.get, chunks))
         wanted = self.count - 1
-        losses = heapq.nsmallest(wanted, (d[0] for f in found if f is not None for d in f[1]))
-        for k, have in enumerate(found):
-            cutoff = losses[-1] if len(losses) == wanted else math.inf
-            have = have or self.new.get(chunks[k])
-            if have is None or have[3] < cutoff:
-                found[k] = now = self.chunk(chunks[k], cutoff)
-                fresh = now[1] if have is None else now[1][len(have[1]):]
-                if fresh:
-                    losses = heapq.nsmallest(wanted, [*losses, *[d[0] for d in fresh]])
-            elif found[k] is None:
-                found[k] = have
-                losses = heapq.nsmallest(wanted, [*losses, *[d[0] for d in have[1]]])
+        losses = heapq.nsmallest(wanted, [f[4] for f in found if f is not None])
+
+        def cutoff() -> float:
+            return losses[-1] if len(losses) == wanted else math.inf
+
+        for k in [k for k, f in enumerate(found) if f is None]:
+            found[k] = now = self.chunk(chunks[k], cutoff())
+            if now[4] < cutoff():
+                losses = heapq.nsmallest(wanted, [*losses, now[4]])
+        last = cutoff()
+        for k in [k for k, f in enumerate(found) if f[3] < last]:
+            found[k] = self.chunk(chunks[k], last)
         best = [f[0] for f in found]
         total = sum([f[2] for f in found])
-        last = losses[-1] if losses else -1.0
-        departures = sorted((loss, k, rank, ids) for k, f in enumerate(found) if f[1]
-                            for rank, (loss, ids) in enumerate(f[1]) if loss <= last)[:wanted]
+        departures = sorted((loss, k, rank, ids) for k in [k for k, f in enumerate(found) if f[4] <= last]
+                            for rank, (loss, ids) in enumerate(found[k][1]) if loss <= last)[:wanted]
         options = []
         for size in range(len(departures) + 1):
             for some in itertools.combinations(departures, size):
