@@ -45,7 +45,7 @@ def title_case(value: ColumnOrName) -> Column:
     text = as_col(value)
     runs = F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"), F.lit(1))
     rebuilt = F.array_join(F.transform(runs, lambda run: F.concat(
-        F.upper(F.substring(run, 1, 1)), F.substring(run, 2, 1_000_000))), "")
+        F.upper(F.substring(run, 1, 1)), run.substr(F.lit(2), F.length(run)))), "")
     return F.when(text.rlike(r"[^\p{L}\p{N}\s]"), rebuilt).otherwise(F.initcap(text))
 
 

@@ -18,10 +18,11 @@ CALENDAR_TYPES = {
 
 
 def typed_calendar(raw: DataFrame) -> DataFrame:
-    """All-text calendar to the typed date dimension; blank holiday labels become NULL."""
+    """All-text calendar to the typed date dimension; blank holiday labels and an unknown recess become NULL."""
     named = raw.withColumn("date_day", F.col("date_day").cast("date")) \
         .withColumn("holiday_name", blank_to_null("holiday_name")) \
-        .withColumn("holiday_type", blank_to_null("holiday_type"))
+        .withColumn("holiday_type", blank_to_null("holiday_type")) \
+        .withColumn("is_school_break", blank_to_null("is_school_break"))
     return cast_columns(named, CALENDAR_TYPES).withColumnRenamed("date_day", "date_key")
 
 
@@ -134,7 +135,11 @@ def describe_days(days: DataFrame, date_key: str = "date_key",
                   spring_breaks: Sequence[tuple[str, str]] = SPRING_BREAKS,
                   extra_flags: Mapping[str, Sequence[tuple[str, str]]] | None = None
                   ) -> DataFrame:
-    """Calendar attributes for a frame of distinct days."""
+    """Calendar attributes for a frame of distinct days.
+
+    ``is_school_break`` is NULL on days that only the spring recess could make one, in years for
+    which ``spring_breaks`` has no dates.
+    """
     day = F.col(date_key)
     name, kind = None, None
     for label, label_type, hit in holiday_rules(day):
@@ -143,7 +148,10 @@ def describe_days(days: DataFrame, date_key: str = "date_key",
     dining = F.lit(False)
     for window in DINING_WEEKS:
         dining = dining | _yearly(day, window)
-    school = midwinter_recess(day) | _yearly(day, SUMMER_BREAK) | _dated(day, spring_breaks)
+    announced = sorted({int(edge[:4]) for window in spring_breaks for edge in window})
+    # A year without announced dates is unknown where nothing else says yes.
+    spring = F.when(F.year(day).isin(announced), _dated(day, spring_breaks))
+    school = midwinter_recess(day) | _yearly(day, SUMMER_BREAK) | spring
     flags = [_dated(day, windows).alias(flag) for flag, windows in (extra_flags or {}).items()]
     return days.select(
         day.alias("date_key"),

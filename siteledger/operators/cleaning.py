@@ -3,16 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..sources.landing import pin
 from .positions import positions
 
-# Exports of one key up to which ranking them in one task is fine.
-HOT_ROWS = 1_000_000
-
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Strict typed projection: ANSI casts, so a bad value fails the job."""
@@ -64,29 +59,21 @@ def keep_latest(df: DataFrame, keys: Sequence[str], newest: Sequence[str],
 
 
 def rank_exports(df: DataFrame, keys: Sequence[str], newest: Sequence[str],
-                 tie_break: Sequence[str] | None = None, out: str = "export_seq",
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+                 tie_break: Sequence[str] | None = None, out: str = "export_seq") -> DataFrame:
     """Number the exports of each business key, 1 = newest.
 
     Only for looking at the copies themselves.  Anything that needs just the
     newest row uses ``keep_latest``; totals over the copies use
     ``copies_and_latest``.
 
-    Keys are counted first (a job).  A key with more than ``hot_rows`` exports is
-    ranked by a distributed sort, every other key within one task.
+    Ranks come from one sort spread over all tasks, whatever the size of a key (runs a
+    job).  Copies equal in every column are told apart by their place in the input, so
+    they do not have to share a task either.
     """
     order = _newest_first(df, keys, newest, tie_break)
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    hot, n_hot = pin(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                     .filter(F.col("_n") > hot_rows).select(*keys), "hot-keys")
-    if n_hot == 0:
-        return df.withColumn(out, rank)
-    hot = hot.withColumnsRenamed({k: f"_hot_{k}" for k in keys})
-    match = reduce(lambda a, b: a & b,
-                   [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    cold = df.join(hot, match, "left_anti").withColumn(out, rank)
-    spread = positions(df.join(hot, match, "left_semi"), order, keys, out)
-    return cold.unionByName(spread.withColumn(out, F.col(out).cast("int")))
+    placed = df.withColumn("_input_place", F.monotonically_increasing_id())
+    return positions(placed, [*order, F.col("_input_place")], keys, out) \
+        .drop("_input_place").withColumn(out, F.col(out).cast("int"))
 
 
 def copies_and_latest(df: DataFrame, keys: Sequence[str], newest: Sequence[str],

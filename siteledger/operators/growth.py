@@ -43,9 +43,9 @@ def comparable_growth(monthly: DataFrame, openings: DataFrame, eras: DataFrame,
         .filter(F.col("base_value").isNotNull())
     conversions = _converted_units(eras, openings, unit, valid_from)
     # An exclusion lasts from the conversion until a year after it has settled.
-    touched = paired.select(unit, month).join(conversions, unit).filter(
-        (F.col("converted_on") <= F.col(month))
-        & (F.add_months("converted_on", settle_months) > _months_before(F.col(month), 12))) \
+    closed = conversions.withColumn("_reopens", F.add_months("converted_on", settle_months + 12))
+    inside = F.col(month).between(F.col("converted_on"), F.date_sub("_reopens", 1))
+    touched = paired.select(unit, month).join(closed, unit).filter(inside) \
         .select(unit, month, F.lit(True).alias("_converting")).distinct()
     age = min_months_open + (12 if both_ends else 0)
     flagged = paired.join(openings.select(unit, "open_date"), unit) \

@@ -24,31 +24,36 @@ def rollup_levels(rows: DataFrame, levels: Sequence[str], value: str, root: str
 
 
 def ancestors(nodes: DataFrame, node: str = "node", parent: str = "parent") -> DataFrame:
-    """Closure (descendant, ancestor), every node being its own ancestor.
+    """Closure (descendant, ancestor), every node being its own ancestor; any depth.
 
-    Runs as a recursive query; Spark's own level and row limits turn a cycle
-    into an error instead of an endless job.
+    Doubling: with all ancestors up to distance 2^k and the jumps of exactly 2^k, one join
+    each gives those for k + 1, so a chain of n nodes takes log2(n) rounds.  Each round is
+    pinned (a job).  Jumps that are still there when 2^k exceeds the number of nodes
+    mean a cycle, which is an error.
     """
-    edges = nodes.select(F.col(node).alias("node"), F.col(parent).alias("parent"))
-    return nodes.sparkSession.sql("""
-        WITH RECURSIVE walk (descendant, ancestor) AS (
-            SELECT node, node FROM {edges}
-            UNION ALL
-            SELECT w.descendant, e.parent
-            FROM walk w JOIN {edges} e ON e.node = w.ancestor
-            WHERE e.parent IS NOT NULL
-        )
-        SELECT descendant, ancestor FROM walk
-    """, edges=edges)
+    links, n_links = pin(nodes.select(F.col(node).alias("node"), F.col(parent).alias("parent"))
+                         .filter("node is not null and parent is not null"), "links")
+    known = nodes.select(F.col(node).alias("descendant"), F.col(node).alias("ancestor")).filter("ancestor is not null")
+    jumps, n_jumps, reach = links.select("node", F.col("parent").alias("far")), n_links, 1
+    while n_jumps:
+        if reach > n_links:
+            raise ValueError("the hierarchy has a cycle")
+        further = jumps.join(known.withColumnRenamed("descendant", "far"), "far") \
+            .select(F.col("node").alias("descendant"), "ancestor")
+        known, _ = pin(known.unionByName(further), "ancestors")
+        onward = jumps.select(F.col("node").alias("far"), F.col("far").alias("farther"))
+        jumps, n_jumps = pin(jumps.join(onward, "far").select("node", F.col("farther").alias("far")), "jumps")
+        reach *= 2
+    return known
 
 
 def rollup_tree(leaves: DataFrame, leaf: str, value: str, nodes: DataFrame,
                 node: str = "node", parent: str = "parent") -> DataFrame:
     """Total and number of leaves under every node, leaves included.
 
-    Leaf rows are first summed to their direct parent, so the recursive part and
+    Leaf rows are first summed to their direct parent, so the closure and
     its join only ever see inner nodes, however many leaves there are.  Those
-    nodes are pinned (a job) because every recursion step reads them again.
+    nodes are pinned (a job) because every round reads them again.
     """
     sums = leaves.groupBy(F.col(leaf).alias("node")).agg(F.sum(value).alias("net_sales"))
     tree = nodes.select(F.col(node).alias("node"), F.col(parent).alias("parent"))

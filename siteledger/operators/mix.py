@@ -7,13 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import pct, ratio
-from ..sources.landing import pin
 from .conform import in_era
 from .metrics import sum_where
-from .quantiles import gathered_percentile, group_percentile
-
-# Item rows up to which a median may be taken in one task per group.
-GATHER_LIMIT = 1_000_000
+from .quantiles import group_percentile
 
 
 def fold_labels(label: str, folds: Mapping[str, str]) -> Column:
@@ -25,26 +21,21 @@ def fold_labels(label: str, folds: Mapping[str, str]) -> Column:
 
 
 def quadrants(sold: DataFrame, group: Sequence[str], item: str, units: str, price: str,
-              unit_cost: str, gather_limit: int = GATHER_LIMIT) -> DataFrame:
+              unit_cost: str) -> DataFrame:
     """Place items against their group's median units and median margin.
 
     ``sold`` has one row per group and item.  An item without a cost takes its
     group's median cost ratio and is flagged.  At the median counts as high.
-
-    The item rows feed several branches and are pinned first (a job); their
-    count decides how medians are taken.
     """
-    sold, n_items = pin(sold, "items")
-    percentile = gathered_percentile if n_items <= gather_limit else group_percentile
     base = sold.withColumn("_ratio", ratio(unit_cost, price))
-    ratios = percentile(base, group, ["_ratio", units]) \
+    ratios = group_percentile(base, group, ["_ratio", units]) \
         .withColumnsRenamed({"_ratio": "_med_ratio", units: "_med_units"})
     list_price = F.col(price).cast("double")
     cost = F.coalesce(F.col(unit_cost).cast("double"), F.col("_med_ratio") * list_price)
     costed = sold.join(ratios, list(group)).select(
         *group, item, units, ((list_price - cost) * F.col(units).cast("double")).alias("_margin"),
         F.col(unit_cost).isNull().alias("cost_imputed"), "_med_units")
-    medians = percentile(costed, group, ["_margin"]) \
+    medians = group_percentile(costed, group, ["_margin"]) \
         .withColumnRenamed("_margin", "_med_margin")
     popular = F.col(units).cast("double") >= F.col("_med_units")
     rich = F.col("_margin") >= F.col("_med_margin")

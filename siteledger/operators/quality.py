@@ -103,21 +103,19 @@ def metric_bands(metrics: DataFrame, bands: Mapping[str, tuple[float | None, flo
 
 
 def _cell(df: DataFrame, field: T.StructField, scale: int) -> Column:
-    """Comparable text of one cell: trimmed text, numbers half-even to ``scale``."""
+    """Comparable text of one cell: stripped text, numbers half-even to ``scale``; a number too large
+    for that, and NaN or infinity, is compared by its own text."""
     value = df[field.name]
     kind = field.dataType
     if isinstance(kind, T.BooleanType):
         return F.concat(F.lit("bool:"), value.cast("string"))
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        finite = ~(F.isnan(value) | F.abs(value).isin(float("inf")))
-        fixed = F.bround(F.when(finite, value).cast("decimal(38,12)"), scale)
-        return F.coalesce(fixed.cast(f"decimal(38,{scale})").cast("string"), value.cast("string"))
     if isinstance(kind, T.NumericType):
-        return F.bround(value, scale).cast(f"decimal(38,{scale})").cast("string")
+        exact = value.try_cast("decimal(38,12)")
+        fixed = F.bround(exact, scale).try_cast(f"decimal(38,{scale})")
+        return F.coalesce(fixed.cast("string"), value.cast("string"))
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.replace(value.cast("string"), F.lit(" "), F.lit("T"))
-    return F.trim(value.cast("string"))
-
+    return F.regexp_replace(value.cast("string"), r"(?U)^\s+|\s+$", "")
 
 
 def diff_results(expected: DataFrame, actual: DataFrame, scale: int = 2,

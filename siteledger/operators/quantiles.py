@@ -1,10 +1,11 @@
 """Exact interpolated group percentiles without gathering a group anywhere.
 
 The built-in exact ``percentile`` keeps every distinct value of a group in one
-task.  Here a group is first reduced to a value histogram (hashed by value, so
-one group spreads over all tasks and one repeated value combines map-side).
-Order-preserving slots, at most a few thousand per group, then show where the
-wanted ranks lie, and only the values of those slots are ordered.
+task.  Here a quantile sketch first brackets the wanted ranks: its rank error is at
+most 1/SKETCH of the group, so two bounds a little further apart hold them for
+certain, whatever the values are.  The group is then a value histogram (hashed by value, so one
+group spreads over all tasks and one repeated value combines map-side): values below the
+bracket are only counted, and only those inside are ordered.
 """
 
 from __future__ import annotations
@@ -13,24 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-LOWEST_DECADE, HIGHEST_DECADE = -6, 18
-
-
-def value_slot(value: Column) -> Column:
-    """Order-preserving slot of a double: its sign, decade and first three digits.
-
-    Comparisons, one division by a constant and ``floor`` are all monotone in
-    floating point, so a larger value never lands in a smaller slot.
-    """
-    size = F.abs(value)
-    slot = None
-    for decade in range(HIGHEST_DECADE, LOWEST_DECADE - 1, -1):
-        digits = F.floor(F.least(size / float(10.0 ** (decade - 2)), F.lit(999.0)))
-        place = F.lit(1000 * (decade - LOWEST_DECADE + 1)) + digits
-        hit = size >= float(10.0 ** decade)
-        slot = F.when(hit, place) if slot is None else slot.when(hit, place)
-    slot = slot.otherwise(F.lit(0).cast("bigint"))
-    return F.when(value < 0, -slot).otherwise(slot)
+SKETCH = 10_000
 
 
 def group_percentile(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
@@ -42,39 +26,40 @@ def group_percentile(df: DataFrame, keys: Sequence[str], measures: Sequence[str]
     pairs = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value"))
                       for m in measures])
     group = [*keys, "measure"]
-    hist = df.select(*keys, F.inline(pairs)).filter(F.col("value").isNotNull()) \
-        .groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n")) \
-        .withColumn("slot", value_slot(F.col("value")))
-    whole = Window.partitionBy(*group)
-    slots = hist.groupBy(*group, "slot").agg(F.sum("n").alias("size")) \
-        .withColumn("upto", F.sum("size").over(whole.orderBy("slot"))) \
-        .withColumn("spot", (F.sum("size").over(whole) - 1) * F.lit(float(p))) \
-        .withColumn("ahead", F.col("upto") - F.col("size"))
+    values = df.select(*keys, F.inline(pairs)).filter(F.col("value").isNotNull())
+    reach = 3.0 / SKETCH
+    bounds = F.percentile_approx("value", F.array(F.lit(max(0.0, p - reach)), F.lit(min(1.0, p + reach))), SKETCH)
+    bracket = values.groupBy(*group).agg(
+        bounds.alias("b"), F.min("value").alias("least"), F.max("value").alias("most"),
+        F.count(F.lit(1)).alias("total")).select(
+        *[F.col(k).alias(f"_k_{k}") for k in group], ((F.col("total") - 1) * F.lit(float(p))).alias("spot"),
+        # Up to SKETCH rows one rank is more than the reach, so such a group is its own bracket.
+        (F.col("least") if p <= reach else F.when(F.col("total") <= SKETCH, F.col("least"))
+         .otherwise(F.col("b")[0])).alias("low_value"),
+        (F.col("most") if p >= 1 - reach else F.when(F.col("total") <= SKETCH, F.col("most"))
+         .otherwise(F.col("b")[1])).alias("high_value"))
+    same = None
+    for k in group:
+        hit = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        same = hit if same is None else same & hit
+    hist = values.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n")).join(bracket, same)
+    below = F.sum(F.when(F.col("value") < F.col("low_value"), F.col("n")).otherwise(0))
+    counted = hist.groupBy(*group).agg(below.alias("ahead")) \
+        .withColumnsRenamed({k: f"_c_{k}" for k in group})
+    matched = None
+    for k in group:
+        hit = F.col(k).eqNullSafe(F.col(f"_c_{k}"))
+        matched = hit if matched is None else matched & hit
+    near = hist.filter((F.col("value") >= F.col("low_value")) & (F.col("value") <= F.col("high_value"))) \
+        .join(counted, matched) \
+        .withColumn("last", F.col("ahead") + F.sum("n").over(Window.partitionBy(*group).orderBy("value"))) \
+        .withColumn("first", F.col("last") - F.col("n"))
+    low, high = F.floor("spot"), F.ceil("spot")
 
-    def holds(rank: Column, first: Column, last: Column) -> Column:
-        return (rank >= first) & (rank < last)
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank >= F.col("first")) & (rank < F.col("last")), F.col("value")))
 
-    low, high = F.floor("spot"), F.ceil("spot")
-    hits = slots.filter(holds(low, F.col("ahead"), F.col("upto"))
-                        | holds(high, F.col("ahead"), F.col("upto"))) \
-        .select(*group, "slot", "ahead", "spot")
-    last = F.col("ahead") + F.sum("n").over(Window.partitionBy(*group, "slot").orderBy("value"))
-    near = hist.join(hits, [*group, "slot"]).withColumn("last", last) \
-        .withColumn("first", F.col("last") - F.col("n"))
-    ends = near.groupBy(*group).agg(
-        F.max("spot").alias("spot"),
-        F.max(F.when(holds(low, F.col("first"), F.col("last")), F.col("value"))).alias("v_low"),
-        F.max(F.when(holds(high, F.col("first"), F.col("last")), F.col("value"))).alias("v_high"))
+    ends = near.groupBy(*group).agg(F.max("spot").alias("spot"), at(low).alias("v_low"), at(high).alias("v_high"))
     value = F.col("v_low") + (F.col("v_high") - F.col("v_low")) * (F.col("spot") - low)
     return ends.groupBy(*keys).agg(*[
         F.max(F.when(F.col("measure") == m, value)).alias(m) for m in measures])
-
-
-def gathered_percentile(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
-                        p: float = 0.5) -> DataFrame:
-    """The same by the built-in aggregate, which holds a group's values in one task.
-
-    Only for inputs whose measured row count is small.
-    """
-    return df.groupBy(*keys).agg(*[
-        F.percentile(F.col(m).cast("double"), float(p)).alias(m) for m in measures])

@@ -164,7 +164,7 @@ def attach_tickets(spark: SparkSession, sf_dir: str, category: str = "PROMO",
 def flag_tickets(spark: SparkSession, sf_dir: str, flags: dict[str, Column],
                  items: DataFrame | None = None, span: tuple[str, str] | None = None) -> DataFrame:
     """Any-line flags per ticket, optionally with item attributes and in a date range."""
-    fact = b.published(spark, "sales")
+    fact = b.published(spark, sf_dir, "sales")
     lines = b.line_items(spark, sf_dir) if fact is None else fact
     if fact is not None and span:
         lines = metrics.within(lines, "day", span)

@@ -6,7 +6,7 @@ unit = nation, area = region, ticket = order, item = part.  Repeated
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import month_start, signed_net, to_local_ntz
 from ..operators.cleaning import copies_and_latest, keep_latest
@@ -19,6 +19,8 @@ NET = "decimal(18,4)"
 
 # Session setting that names the catalog schema with the published facts (see ``publish_mart``).
 MART_SETTING = "spark.siteledger.mart"
+# Table property of a published fact: the folder of the tables it was derived from.
+SOURCE_PROPERTY = "siteledger.source"
 
 LINE_KEY = ("l_orderkey", "l_linenumber")
 NEWEST = ("l_shipdate",)
@@ -27,15 +29,8 @@ TIE_BREAK = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_disco
              "l_tax", "l_returnflag")
 
 
-_schemas: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A source table; its footers are read for the schema once per process."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def state_of(flag: str = "l_returnflag", qty: str = "l_quantity") -> Column:
@@ -89,15 +84,20 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").cast("decimal(14,2)").alias("order_value"))
 
 
-def published(spark: SparkSession, name: str) -> DataFrame | None:
-    """A published fact, or None when the session names no mart."""
+def published(spark: SparkSession, sf_dir: str, name: str) -> DataFrame | None:
+    """A published fact, or None when the session names no mart; an error if it was made from other tables."""
     mart = spark.conf.get(MART_SETTING, None)
-    return spark.table(f"{mart}.{name}") if mart else None
+    if not mart:
+        return None
+    found = spark.sql(f"SHOW TBLPROPERTIES {mart}.{name} ('{SOURCE_PROPERTY}')").first()["value"]
+    if found != sf_dir.rstrip("/"):
+        raise ValueError(f"{mart}.{name} was published from {found}, not from {sf_dir}")
+    return spark.table(f"{mart}.{name}")
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conformed sales fact at line grain, published or derived."""
-    fact = published(spark, "sales")
+    fact = published(spark, sf_dir, "sales")
     if fact is not None:
         return fact
     return line_items(spark, sf_dir).join(headers(spark, sf_dir), "ticket")
@@ -105,7 +105,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lines_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deduplicated lines for questions that need no header attribute."""
-    fact = published(spark, "sales")
+    fact = published(spark, sf_dir, "sales")
     return line_items(spark, sf_dir) if fact is None else fact
 
 
@@ -117,7 +117,7 @@ def ticket_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Lines are summed to tickets before the header join; unused sums are pruned.
     """
-    fact = published(spark, "tickets")
+    fact = published(spark, sf_dir, "tickets")
     if fact is not None:
         return fact
     gross = F.col("gross")
@@ -147,7 +147,7 @@ def purchases_of(rows: DataFrame) -> Column:
 
 def ticket_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per ticket with net, labor and purchases."""
-    fact = published(spark, "tickets")
+    fact = published(spark, sf_dir, "tickets")
     if fact is not None:
         return fact
     priced = parts(spark, sf_dir).select("part", "price")
@@ -300,4 +300,6 @@ def publish_mart(spark: SparkSession, sf_dir: str, schema: str, folder: str) ->
             "labor": F.col("labor"), "purchases": F.col("purchases")})
     write_fact(tickets, f"{folder}/tickets", "month_start", ["unit", "day", "ticket"],
                table=f"{schema}.tickets")
+    for name in ("sales", "tickets"):
+        spark.sql(f"ALTER TABLE {schema}.{name} SET TBLPROPERTIES ('{SOURCE_PROPERTY}' = '{sf_dir.rstrip('/')}')")
     return schema

@@ -59,7 +59,7 @@ def c01_parse_dates_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def c02_local_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.event_rows(spark, sf_dir).select(
-        "event_id", F.substring(F.col("local_ts").cast("string"), 1, 19).alias("local_time"))
+        "event_id", F.date_format("local_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("local_time"))
 
 
 ORDER_TYPES = {"order_key": "bigint", "order_value": "decimal(14,2)"}

@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import conform
+from ..operators.cleaning import keep_latest
 from ..sources import RAW_FEEDS
 from . import bindings as b
 from .conforming import calendar_text, date_text, label_text
@@ -97,12 +98,12 @@ def menu_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One invoice per order; copies of a line are one invoice line."""
+    """One invoice per order; of the copies of a line the newest one counts."""
     worth = F.col("l_extendedprice").cast(b.MONEY)
-    lines = b.table(spark, sf_dir, "lineitem").groupBy(
-        F.col("l_orderkey").alias("ticket"), "l_linenumber").agg(
-        F.max(F.col("l_quantity").cast("int")).alias("qty"), F.max(worth).alias("worth"),
-        F.min("l_partkey").alias("part"), F.min("l_suppkey").alias("supplier"))
+    newest = keep_latest(b.table(spark, sf_dir, "lineitem"), b.LINE_KEY, b.NEWEST, b.TIE_BREAK)
+    lines = newest.select(
+        F.col("l_orderkey").alias("ticket"), "l_linenumber", F.col("l_quantity").cast("int").alias("qty"),
+        worth.alias("worth"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supplier"))
     names = b.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("supplier"), "s_name")
     heads = coded_headers(spark, sf_dir).select("ticket", "day", "location_code")
     ext = (F.col("worth") * F.lit("0.1").cast("decimal(2,1)")).cast(b.MONEY)

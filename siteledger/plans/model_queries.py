@@ -15,7 +15,7 @@ def _query(build: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         model = plain(build(RenderedFeeds(spark, sf_dir)))
         if "closed_at" in model.columns:
-            model = model.withColumn("closed_at", F.substring(F.col("closed_at").cast("string"), 1, 19))
+            model = model.withColumn("closed_at", F.date_format("closed_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
         return model
     return run
 

@@ -43,8 +43,12 @@ _CALENDAR = """
         CAST(isodow(days.d) AS INTEGER) AS day_of_week, dayname(days.d) AS day_name,
         isodow(days.d) IN (6, 7) AS is_weekend, hol.d IS NOT NULL AS is_holiday,
         hol.name AS holiday_name, hol.kind AS holiday_type,
-        days.d BETWEEN make_date(year(days.d), 6, 27) AND make_date(year(days.d), 9, 5)
-            OR EXISTS (SELECT 1 FROM recess r WHERE days.d BETWEEN r.d AND r.d + 4) AS is_school_break,
+        CASE WHEN days.d BETWEEN make_date(year(days.d), 6, 27) AND make_date(year(days.d), 9, 5) THEN true
+             WHEN EXISTS (SELECT 1 FROM recess r WHERE days.d BETWEEN r.d AND r.d + 4) THEN true
+             WHEN days.d BETWEEN DATE '2024-04-22' AND DATE '2024-04-30' THEN true
+             WHEN days.d BETWEEN DATE '2025-04-14' AND DATE '2025-04-18' THEN true
+             WHEN days.d BETWEEN DATE '2026-03-30' AND DATE '2026-04-03' THEN true
+             WHEN year(days.d) IN (2024, 2025, 2026) THEN false END AS is_school_break,
         days.d BETWEEN make_date(year(days.d), 1, 16) AND make_date(year(days.d), 1, 31)
             OR days.d BETWEEN make_date(year(days.d), 7, 22) AND make_date(year(days.d), 8, 8) AS is_dining_week,
         days.d IN (SELECT d FROM marathon) AS is_marathon_sunday
@@ -57,7 +61,7 @@ CONFORMING_SQL = {
         SELECT o_orderkey AS order_key, CASE WHEN o_orderkey % 50 = 0 OR o_orderkey % 51 = 0 THEN NULL
             ELSE CAST(o_orderdate AS DATE) END AS order_date FROM orders""",
     "c02_local_time": statement("""
-        SELECT event_id, strftime(local_ts, '%Y-%m-%d %H:%M:%S') AS local_time FROM ev""", "ev"),
+        SELECT event_id, strftime(local_ts, '%Y-%m-%d %H:%M:%S.%f') AS local_time FROM ev""", "ev"),
     "c03_cast_strict": "SELECT o_orderkey AS order_key, o_totalprice AS order_value FROM orders",
     "c03_cast_lenient": """
         SELECT o_orderkey AS order_key, CASE WHEN o_orderkey % 40 <> 0 THEN o_totalprice END AS order_value,
@@ -139,6 +143,14 @@ LOADING_SQL = {
     "s4_sample_extract": statement("""
         SELECT o_orderkey AS ticket, day, n_name AS unit, CAST(order_value AS DOUBLE) AS order_value
         FROM head ORDER BY day, o_orderkey LIMIT 500""", "head"),
+    "s5_fingerprint": """
+        WITH c AS (SELECT md5(concat_ws('|', {cells})) AS h FROM lineitem)
+        SELECT count(*) AS n_rows, CAST(sum(CAST('0x' || h[1:15] AS BIGINT)) AS VARCHAR) || '-'
+            || CAST(sum(CAST('0x' || h[16:30] AS BIGINT)) AS VARCHAR) AS digest FROM c""".format(cells=", ".join(
+        f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in (
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "CAST(l_quantity AS DECIMAL(18,4))",
+            "CAST(l_extendedprice AS DECIMAL(18,4))", "CAST(l_discount AS DECIMAL(18,4))",
+            "CAST(l_tax AS DECIMAL(18,4))", "l_returnflag", "l_linestatus", "CAST(l_shipdate AS DATE)"))),
     "s5_verify": """
         SELECT * FROM (VALUES ('suppliers', 'contents differ'), ('gone', 'table missing'),
             ('extra', 'not in manifest')) t("table", problem)""",

@@ -36,9 +36,11 @@ PIECES.update({
     "inv": ("""
         SELECT l_orderkey, l_linenumber, code, n_nationkey AS loc, s_name, supp, day, part, q,
             (2 * CAST(w * 100 AS HUGEINT) + 10) // 20 AS cents
-        FROM (SELECT l_orderkey, l_linenumber, max(CAST(l_quantity AS INTEGER)) AS q,
-                max(CAST(l_extendedprice AS DECIMAL(12,2))) AS w, min(l_partkey) AS part,
-                min(l_suppkey) AS supp FROM lineitem GROUP BY 1, 2) x
+        FROM (SELECT DISTINCT ON (l_orderkey, l_linenumber) l_orderkey, l_linenumber,
+                CAST(l_quantity AS INTEGER) AS q, CAST(l_extendedprice AS DECIMAL(12,2)) AS w,
+                l_partkey AS part, l_suppkey AS supp
+              FROM lineitem ORDER BY l_orderkey, l_linenumber, l_shipdate DESC, l_partkey DESC, l_suppkey DESC,
+                l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC) x
         JOIN coded ON o_orderkey = l_orderkey JOIN supplier ON s_suppkey = supp""", ("coded",)),
     "inv_cost": ("""
         SELECT *, CAST((2 * cents * 100 + q) // (2 * q) AS DOUBLE) / 10000 AS cost,
@@ -74,7 +76,7 @@ _TIER = """'T' || (n_nationkey % 4 + 1) AS volume_tier, CAST(n_nationkey % 80 +
 MODEL_SQL = {
     "model_stg_pos__ticket_lines": statement("""
         SELECT code AS location_code, day AS business_date, l_orderkey AS ticket_number,
-            CAST(l_linenumber AS INTEGER) AS line_number, strftime(closed, '%Y-%m-%d %H:%M:%S') AS closed_at,
+            CAST(l_linenumber AS INTEGER) AS line_number, strftime(closed, '%Y-%m-%d %H:%M:%S.%f') AS closed_at,
             keyed_name AS item_name, q AS qty, CAST(price AS DOUBLE) AS unit_price,
             CAST(off AS DOUBLE) AS discount_amount, st AS line_state, mode AS order_mode,
             CAST(seq AS INTEGER) AS export_seq FROM ranked""", "ranked"),
@@ -109,7 +111,7 @@ MODEL_SQL = {
     "model_dim_vendor": _VENDOR,
     "model_fact_ticket_line": statement("""
         SELECT loc AS location_id, day AS business_date, l_orderkey AS ticket_number,
-            CAST(l_linenumber AS INTEGER) AS line_number, strftime(closed, '%Y-%m-%d %H:%M:%S') AS closed_at,
+            CAST(l_linenumber AS INTEGER) AS line_number, strftime(closed, '%Y-%m-%d %H:%M:%S.%f') AS closed_at,
             CASE WHEN hour(closed) < 7 OR hour(closed) >= 22 THEN 'late_night' WHEN hour(closed) < 11 THEN 'breakfast'
                  WHEN hour(closed) < 15 THEN 'lunch' WHEN hour(closed) < 17 THEN 'afternoon' ELSE 'dinner' END AS daypart,
             isodow(day) > 5 AND hour(closed) >= 10 AND hour(closed) < 15 AS is_brunch,

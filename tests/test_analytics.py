@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import values
 from siteledger.functions import month_start
 from siteledger.operators import costs, growth, hierarchy, metrics, mix, reconcile, streaks
-from siteledger.operators.quantiles import gathered_percentile, group_percentile
+from siteledger.operators.quantiles import group_percentile
 
 DAY = dt.date
 
@@ -268,7 +268,8 @@ def test_percentiles_against_a_sorted_list(rows):
     df = rows("g string, v double, w double", *[(g, v, -v) for g, vs in data.items() for v in vs], ("flat", None, None))
     for p in (0.5, 0.25, 0.9, 0.0, 1.0):
         spread = {r.g: (r.v, r.w) for r in group_percentile(df, ["g"], ["v", "w"], p).collect()}
-        gathered = {r.g: (r.v, r.w) for r in gathered_percentile(df, ["g"], ["v", "w"], p).collect()}
+        gathered = {r.g: (r.v, r.w) for r in df.groupBy("g").agg(
+            F.percentile("v", p).alias("v"), F.percentile("w", p).alias("w")).collect()}
         assert spread.keys() == gathered.keys() == data.keys()
         for g in data:
             assert spread[g] == pytest.approx(gathered[g], rel=1e-12, abs=1e-12)
@@ -280,10 +281,16 @@ ITEMS = [("m", "a", 1, D("10.00"), D("4.00")), ("m", "b", 2, D("10.00"), D("4.00
          ("m", "c", 3, D("10.00"), D("9.00")), ("m", "d", 4, D("10.00"), None)]
 
 
-@pytest.mark.parametrize("limit", [0, 1000])
-def test_quadrants_use_group_medians_and_impute_missing_costs(rows, limit):
+def test_percentiles_of_100000_close_values(spark):
+    df = spark.range(100_001).select((0.4 + F.col("id") / 1e9).alias("v"), F.lit("g").alias("g")).repartition(7)
+    for p in (0.5, 0.01, 0.999):
+        got = group_percentile(df, ["g"], ["v"], p).first().v
+        assert got == df.agg(F.percentile("v", p)).first()[0]
+
+
+def test_quadrants_use_group_medians_and_impute_missing_costs(rows):
     sold = rows("cat string, item string, units bigint, price decimal(9,2), cost decimal(9,2)", *ITEMS)
-    got = mix.quadrants(sold, ["cat"], "item", "units", "price", "cost", gather_limit=limit)
+    got = mix.quadrants(sold, ["cat"], "item", "units", "price", "cost")
     # Median units 2.5, imputed cost 0.4 x 10, margins 6 12 3 24, median margin 9.
     assert values(got, "item", "margin", "quadrant", "cost_imputed") == [
         ("a", 6.0, "dog", False), ("b", 12.0, "puzzle", False), ("c", 3.0, "plowhorse", False),
@@ -352,3 +359,10 @@ def test_ragged_depth(rows):
 
 def test_month_start_is_a_date(rows):
     assert values(rows("d date", (DAY(2025, 3, 31),)).select(month_start("d"))) == [(DAY(2025, 3, 1),)]
+
+
+def test_ancestors_of_a_long_chain_and_of_a_cycle(rows):
+    chain = rows("node int, parent int", *[(i, i + 1) for i in range(150)], (150, None))
+    assert hierarchy.ancestors(chain).count() == 151 * 152 // 2
+    with pytest.raises(ValueError, match="cycle"):
+        hierarchy.ancestors(rows("node int, parent int", (1, 2), (2, 3), (3, 1)))

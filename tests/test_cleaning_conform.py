@@ -58,11 +58,18 @@ def test_ranks_and_copies_agree_with_keep_latest(rows):
 def test_hot_keys_are_ranked_by_a_distributed_sort(spark, rows):
     data = [(k, i * 37 % 101, f"i{i}") for k, n in ((None, 90), ("hot", 101), ("cold", 3)) for i in range(n)]
     df = rows("loc string, closed int, item string", *data).repartition(6)
-    plain = cleaning.rank_exports(df, ["loc"], ["closed"])
-    for limit in (0, 50, 95):
-        spread = cleaning.rank_exports(df, ["loc"], ["closed"], hot_rows=limit)
-        assert spread.columns == plain.columns and dict(spread.dtypes)["export_seq"] == "int"
-        assert values(spread) == values(plain)
+    spread = cleaning.rank_exports(df, ["loc"], ["closed"])
+    assert dict(spread.dtypes)["export_seq"] == "int"
+    for key, n in ((None, 90), ("hot", 101), ("cold", 3)):
+        mine = sorted(((r.export_seq, r.closed) for r in spread.collect() if r["loc"] == key))
+        assert [s for s, _ in mine] == list(range(1, n + 1))
+        assert [c for _, c in mine] == sorted((c for _, c in mine), reverse=True)
+
+
+def test_equal_copies_are_numbered_over_several_tasks(rows):
+    df = rows("loc string, closed int", *[("a", 1)] * 3000).repartition(6)
+    got = cleaning.rank_exports(df, ["loc"], ["closed"])
+    assert sorted(r.export_seq for r in got.collect()) == list(range(1, 3001))
 
 
 def test_salted_join_equals_the_plain_one(rows):

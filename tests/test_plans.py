@@ -71,3 +71,14 @@ def test_both_books_share_one_deduplication(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("row_number() windowspecdefinition") == 1 and "ReusedExchange" in final
+
+
+def test_a_mart_answers_only_for_its_own_tables(spark):
+    schema = bindings.publish_mart(spark, SF_DIR, "boundmart", tempfile.mkdtemp(prefix="mart-"))
+    spark.conf.set(bindings.MART_SETTING, schema)
+    try:
+        QUERIES["q05_total_net"](spark, SF_DIR)
+        with pytest.raises(ValueError, match="published from"):
+            QUERIES["q05_total_net"](spark, "/root/testdata/sf0.01")
+    finally:
+        spark.conf.unset(bindings.MART_SETTING)

@@ -90,3 +90,12 @@ def test_positions_are_dense_over_many_partitions(spark):
 def test_all_non_empty(rows):
     df = rows("x int", (1,))
     assert values(quality.all_non_empty({"full": df, "empty": df.filter("x > 1")})) == [("empty",)]
+
+
+def test_numbers_beyond_rounding_and_padded_text_compare(spark):
+    def frame(*data):
+        return spark.createDataFrame(list(data), "d double, w decimal(38,0), t string")
+    most = D("9" * 38)
+    one = frame((1e27, most, "\t a\u00a0"), (float("nan"), None, None), (float("inf"), D(1), ""))
+    assert quality.diff_results(one, frame((1e27, most, "a"), (float("nan"), None, None), (float("inf"), D(1), " "))).count() == 0
+    assert quality.diff_results(one, frame((2e27, most, "a"), (float("nan"), None, None), (float("-inf"), D(1), ""))).count() == 4
