@@ -165,16 +165,17 @@ def flag_tickets(spark: SparkSession, sf_dir: str, flags: dict[str, Column],
                  items: DataFrame | None = None, span: tuple[str, str] | None = None) -> DataFrame:
     """Any-line flags per ticket, optionally with item attributes and in a date range."""
     fact = b.published(spark, sf_dir, "sales")
-    lines = b.line_items(spark, sf_dir) if fact is None else fact
-    if fact is not None and span:
-        lines = metrics.within(lines, "day", span)
+    if fact is not None:
+        lines = metrics.within(fact, "day", span) if span else fact
+    else:
+        heads = b.headers(spark, sf_dir)
+        heads = metrics.within(heads, "day", span) if span else heads
+        lines = b.line_items(spark, sf_dir, heads if span else None)
     if items is not None:
         lines = lines.join(items, "part")
     if fact is not None:
         return metrics.ticket_rollup(lines, b.TICKET_LEVEL, flags=flags)
-    tickets = metrics.ticket_rollup(lines, ["ticket"], flags=flags) \
-        .join(b.headers(spark, sf_dir), "ticket")
-    return metrics.within(tickets, "day", span) if span else tickets
+    return metrics.ticket_rollup(lines, ["ticket"], flags=flags).join(heads, "ticket")
 
 
 def a07d_attach_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,10 +216,10 @@ def a09b_tied_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.tied_days(both_books(spark, sf_dir, "inner"), "unit")
 
 
-def unit_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price per piece of every line, with item attributes."""
+def unit_prices(spark: SparkSession, sf_dir: str, span: tuple[str, str] | None = None) -> DataFrame:
+    """Price per piece of every line, with item attributes, in a date range if given."""
     price = F.round(F.col("list_value") / F.abs("qty"), 4).cast("decimal(18,4)")
-    return b.sales(spark, sf_dir).withColumn("unit_price", price) \
+    return b.sales(spark, sf_dir, span).withColumn("unit_price", price) \
         .join(b.parts(spark, sf_dir), "part")
 
 
@@ -233,7 +234,7 @@ def a10b_ratio_in_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def a11a_vs_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.vs_group_mean(b.ticket_sales(spark, sf_dir), "unit", "day", "net",
+    return metrics.vs_group_mean(b.ticket_sales(spark, sf_dir, ("1997-06-01", "1999-06-30")), "unit", "day", "net",
                                  ["1997-06-01", "1998-06-01", "1999-06-01"])
 
 
@@ -246,7 +247,7 @@ def tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def a11b_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = metrics.within(b.ticket_sales(spark, sf_dir), "day", ("2000-07-01", "2001-06-30"))
+    rows = b.ticket_sales(spark, sf_dir, ("2000-07-01", "2001-06-30"))
     total = hierarchy.rollup_levels(rows, ["unit", "area"], "net")
     return total.select("node", F.round(F.col("net_sales").cast("double"), 0).alias("net_sales"),
                         F.col("leaves").alias("units"))
@@ -271,12 +272,12 @@ def a11c_era_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def a12a_cost_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.ticket_costs(spark, sf_dir).filter(F.col("unit") == BRIDGE_UNIT)
+    rows = b.ticket_costs(spark, sf_dir, unit=BRIDGE_UNIT)
     return costs.cost_bridge(rows, "day", "net", "labor", "purchases", BRIDGE_WINDOWS)
 
 
 def a12b_target_miss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.ticket_costs(spark, sf_dir).filter(F.col("unit") == BRIDGE_UNIT)
+    rows = b.ticket_costs(spark, sf_dir, unit=BRIDGE_UNIT)
     return costs.target_miss(rows, "day", "net", ["labor", "purchases"],
                              BRIDGE_WINDOWS["trailing"], 35.0)
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import month_start, signed_net, to_local_ntz
 from ..operators.cleaning import copies_and_latest, keep_latest
-from ..operators.metrics import ticket_rollup
+from ..operators.metrics import ticket_rollup, within
 from ..sources import write_fact
 
 MONEY = "decimal(12,2)"
@@ -58,9 +58,15 @@ def _measures(rows: DataFrame) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("shipped"))
 
 
-def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deduplicated lines without header attributes."""
+def line_items(spark: SparkSession, sf_dir: str, tickets: DataFrame | None = None) -> DataFrame:
+    """Deduplicated lines without header attributes, of all tickets or of ``tickets`` only.
+
+    The ticket is part of a line's key, so lines of other tickets can go before copies are ranked.  (Attributes
+    that copies may differ in, such as the part, can only be filtered on afterwards.)
+    """
     raw = table(spark, sf_dir, "lineitem")
+    if tickets is not None:
+        raw = raw.join(tickets.select(F.col("ticket").alias("l_orderkey")), "l_orderkey", "left_semi")
     return _measures(keep_latest(raw.select(*LINE_KEY, *NEWEST, *TIE_BREAK),
                                  LINE_KEY, NEWEST, TIE_BREAK))
 
@@ -95,12 +101,29 @@ def published(spark: SparkSession, sf_dir: str, name: str) -> DataFrame | None:
     return spark.table(f"{mart}.{name}")
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The conformed sales fact at line grain, published or derived."""
+Span = tuple[str, str]
+
+
+def _restricted(rows: DataFrame, span: Span | None, unit: str | None) -> DataFrame:
+    if unit is not None:
+        rows = rows.filter(F.col("unit") == unit)
+    return within(rows, "day", span) if span else rows
+
+
+def _raw_tickets(spark: SparkSession, sf_dir: str, span: Span | None, unit: str | None
+                 ) -> tuple[DataFrame, DataFrame]:
+    """Headers of a date range or unit and their deduplicated lines."""
+    heads = _restricted(headers(spark, sf_dir), span, unit)
+    return heads, line_items(spark, sf_dir, heads if span or unit is not None else None)
+
+
+def sales(spark: SparkSession, sf_dir: str, span: Span | None = None, unit: str | None = None) -> DataFrame:
+    """The conformed sales fact at line grain, published or derived, of a date range or one unit if given."""
     fact = published(spark, sf_dir, "sales")
     if fact is not None:
-        return fact
-    return line_items(spark, sf_dir).join(headers(spark, sf_dir), "ticket")
+        return _restricted(fact, span, unit)
+    heads, lines = _raw_tickets(spark, sf_dir, span, unit)
+    return lines.join(heads, "ticket")
 
 
 def lines_only(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,22 +135,23 @@ def lines_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 TICKET_LEVEL = ("ticket", "day", "unit_id", "unit", "area")
 
 
-def ticket_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per ticket with its unit, day and summed measures.
+def ticket_sales(spark: SparkSession, sf_dir: str, span: Span | None = None, unit: str | None = None) -> DataFrame:
+    """One row per ticket with its unit, day and summed measures, of a date range or one unit if given.
 
     Lines are summed to tickets before the header join; unused sums are pruned.
     """
     fact = published(spark, sf_dir, "tickets")
     if fact is not None:
-        return fact
+        return _restricted(fact, span, unit)
+    heads, lines = _raw_tickets(spark, sf_dir, span, unit)
     gross = F.col("gross")
-    rolled = ticket_rollup(line_items(spark, sf_dir), ["ticket"], {
+    rolled = ticket_rollup(lines, ["ticket"], {
         "net": F.col("net"),
         "comp_gross": F.when(F.col("state") == "comp", gross),
         "sale_gross": F.when(F.col("state") == "sale", gross),
         "labor": F.col("labor"),
     })
-    return rolled.join(headers(spark, sf_dir), "ticket")
+    return rolled.join(heads, "ticket")
 
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,21 +169,21 @@ def purchases_of(rows: DataFrame) -> Column:
     return (F.abs("qty") * F.col("price") * F.lit("0.6").cast("decimal(2,1)")).cast(NET)
 
 
-def ticket_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per ticket with net, labor and purchases."""
+def ticket_costs(spark: SparkSession, sf_dir: str, span: Span | None = None, unit: str | None = None) -> DataFrame:
+    """One row per ticket with net, labor and purchases, of a date range or one unit if given."""
     fact = published(spark, sf_dir, "tickets")
     if fact is not None:
-        return fact
-    priced = parts(spark, sf_dir).select("part", "price")
-    lines = line_items(spark, sf_dir).join(priced, "part")
+        return _restricted(fact, span, unit)
+    heads, lines = _raw_tickets(spark, sf_dir, span, unit)
+    lines = lines.join(parts(spark, sf_dir).select("part", "price"), "part")
     rolled = ticket_rollup(lines.withColumn("purchases", purchases_of(lines)), ["ticket"], {
         "net": F.col("net"), "labor": F.col("labor"), "purchases": F.col("purchases")})
-    return rolled.join(headers(spark, sf_dir), "ticket")
+    return rolled.join(heads, "ticket")
 
 
-def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def invoice_lines(spark: SparkSession, sf_dir: str, span: Span | None = None) -> DataFrame:
     """Purchases at line grain: one invoice line per sales line, dated by the ticket."""
-    lines = sales(spark, sf_dir).join(parts(spark, sf_dir), "part")
+    lines = sales(spark, sf_dir, span).join(parts(spark, sf_dir), "part")
     return lines.withColumn("purchases", purchases_of(lines))
 
 

@@ -33,8 +33,7 @@ def q04_count_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q05_total_net(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(metrics.within(b.ticket_sales(spark, sf_dir), "day", YEAR_97)
-                 .agg(F.sum("net").alias("net_sales")))
+    return plain(b.ticket_sales(spark, sf_dir, YEAR_97).agg(F.sum("net").alias("net_sales")))
 
 
 def q06_suppliers_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,26 +47,24 @@ def q07_items_without_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q08_net_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = metrics.within(b.ticket_sales(spark, sf_dir), "day", YEAR_97)
+    rows = b.ticket_sales(spark, sf_dir, YEAR_97)
     return plain(rows.groupBy("area").agg(F.round(F.sum("net"), 2).alias("net_sales"))
                  .orderBy(F.desc("net_sales"), "area"))
 
 
 def q09_average_ticket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = metrics.within(b.ticket_sales(spark, sf_dir), "day", YEAR_97)
-    tickets = F.count_distinct(F.struct("day", "ticket"))
+    rows = b.ticket_sales(spark, sf_dir, YEAR_97)
     return rows.groupBy("unit").agg(
-        F.round(ratio(F.sum("net"), tickets), 2).alias("average_ticket"))
+        F.round(ratio(F.sum("net"), F.count(F.lit(1))), 2).alias("average_ticket"))
 
 
 def q10_best_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = metrics.within(b.sales(spark, sf_dir), "day", YEAR_96).filter("state = 'sale'")
+    rows = b.sales(spark, sf_dir, YEAR_96).filter("state = 'sale'")
     return metrics.top_n(rows, "part", "qty", 5)
 
 
 def q11_unit_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = metrics.within(b.ticket_sales(spark, sf_dir), "day", YEAR_97) \
-        .filter(F.col("unit") == ONE_UNIT)
+    rows = b.ticket_sales(spark, sf_dir, YEAR_97, ONE_UNIT)
     return plain(rows.groupBy(month_start("day").alias("month"))
                  .agg(F.sum("net").alias("net_sales")).orderBy("month"))
 
@@ -79,13 +76,13 @@ def q12_flagged_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q13_comp_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = metrics.within(b.ticket_sales(spark, sf_dir), "day", YEAR_97) \
+    rows = b.ticket_sales(spark, sf_dir, YEAR_97) \
         .filter(F.col("comp_gross").isNotNull())
     return plain(rows.groupBy("unit").agg(F.round(F.sum("comp_gross"), 2).alias("comp_value")))
 
 
 def q14_over_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = metrics.within(b.ticket_sales(spark, sf_dir), "day", YEAR_97)
+    rows = b.ticket_sales(spark, sf_dir, YEAR_97)
     actual = costs.period_totals(rows, "unit", "day", {"labor": "labor"})
     over = costs.over_plan(actual, b.plan_rows(spark, sf_dir), "unit", "labor", "plan_labor", 5)
     return over.withColumn("over_plan", F.round(F.col("over_plan"), 2).cast("double"))
@@ -94,19 +91,19 @@ def q14_over_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q15_weekend_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = calendar.describe_days(order_days(spark, sf_dir), "day") \
         .select(F.col("date_key").alias("day"), "is_weekend")
-    rows = metrics.within(b.ticket_sales(spark, sf_dir), "day", YEAR_97) \
+    rows = b.ticket_sales(spark, sf_dir, YEAR_97) \
         .groupBy("unit", "day").agg(F.sum("net").alias("net")).join(days, "day")
     return metrics.share_within(rows, ["unit"], "net", F.col("is_weekend"), 1, "weekend_pct")
 
 
 def q16_top_three_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = metrics.within(b.sales(spark, sf_dir), "day", ("1997-10-01", "1997-12-31")) \
+    rows = b.sales(spark, sf_dir, ("1997-10-01", "1997-12-31")) \
         .filter("state = 'sale'")
     return mix.top_per_group(rows, ["unit"], "part", "qty", 3).select("unit", "part", "units")
 
 
 def q17_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.period_growth(b.ticket_sales(spark, sf_dir).filter("day <= date'1998-12-31'"),
+    return metrics.period_growth(b.ticket_sales(spark, sf_dir, (YEAR_97[0], YEAR_98[1])),
                                  "unit", "day", "net", YEAR_98, YEAR_97)
 
 
@@ -116,13 +113,10 @@ def q18_differing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q19_ratio_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three facts, each summed to the unit before they meet."""
-    rows = metrics.within(b.sales(spark, sf_dir), "day", TWELVE_MONTHS)
-    bought = metrics.within(b.invoice_lines(spark, sf_dir), "day", TWELVE_MONTHS)
-    net = rows.groupBy("unit").agg(F.sum("net").alias("net"))
-    labor = rows.groupBy("unit").agg(F.sum("labor").alias("labor"))
-    purchases = bought.groupBy("unit").agg(F.sum("purchases").alias("purchases"))
-    return net.join(purchases, "unit").join(labor, "unit").select(
+    """One pass over the tickets;"""
+    rows = b.ticket_costs(spark, sf_dir, TWELVE_MONTHS)
+    sums = rows.groupBy("unit").agg(*[F.sum(c).alias(c) for c in ("net", "labor", "purchases")])
+    return sums.select(
         "unit", pct(F.col("purchases") + F.col("labor"), "net").alias("cost_pct")) \
         .orderBy(F.desc("cost_pct"), "unit")
 
@@ -142,7 +136,7 @@ def q21_share_before_after(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q22_mean_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     may = in_range("day", ("1998-05-01", "1998-05-31"))
     july = in_range("day", ("1998-07-01", "1998-07-31"))
-    rows = metrics.within(unit_prices(spark, sf_dir), "day", ("1998-05-01", "1998-07-31")) \
+    rows = unit_prices(spark, sf_dir, ("1998-05-01", "1998-07-31")) \
         .filter("brand = 'Brand#7'").filter("state = 'sale'").filter(may | july)
     return plain(rows.groupBy(F.date_format("day", "yyyy-MM").alias("month"))
                  .agg(F.round(mean_of("unit_price"), 2).alias("mean_price")))
@@ -154,7 +148,7 @@ def q23_share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q24_mean_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = metrics.within(unit_prices(spark, sf_dir), "day", ("1998-02-01", "1998-03-31")) \
+    rows = unit_prices(spark, sf_dir, ("1998-02-01", "1998-03-31")) \
         .filter("brand = 'Brand#7'")
     return costs.mean_change(rows, "day", "unit_price", "1998-03-01", "1998-02-01")
 
