@@ -39,11 +39,13 @@ def build_filter(listed: DataFrame, key: str, n_listed: int, bits_per_key: int =
 
 def possible(rows: DataFrame, key: str, bloom: DataFrame, blocks: int) -> DataFrame:
     """``rows`` with boolean ``_maybe``: false only for keys that are certainly not listed."""
-    hit = reduce(lambda a, b: a & b, [F.col(f"w{i}").bitwiseAND(b) == b
-                                      for i, b in enumerate(_bits(F.col(key)))])
-    joined = rows.withColumn("block", _block(F.col(key), blocks)) \
-        .join(F.broadcast(bloom), "block", "left")
-    return joined.withColumn("_maybe", F.coalesce(hit, F.lit(False))).select(*rows.columns, "_maybe")
+    # The bits are columns of their own, so that the generated code has each of them once.
+    asked = rows.select("*", _block(F.col(key), blocks).alias("_block"),
+                        *[b.alias(f"_b{i}") for i, b in enumerate(_bits(F.col(key)))])
+    joined = asked.join(F.broadcast(bloom), F.col("_block") == F.col("block"), "left")
+    missed = reduce(Column.bitwiseOR, [F.col(f"_b{i}") - F.col(f"_b{i}").bitwiseAND(F.col(f"w{i}"))
+                                       for i in range(WORDS)])
+    return joined.withColumn("_maybe", F.coalesce(missed == 0, F.lit(False))).select(*rows.columns, "_maybe")
 
 
 def listed_or_not(rows: DataFrame, key: str, listed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ import os
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.landing import pin
@@ -60,9 +60,11 @@ def roots_of(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndar
 def _forest(batches):
     """Replace each batch of edges by a star per set; linear output, bounded by the batch."""
     for edges in batches:
-        nodes, roots = roots_of(edges["a"].to_numpy(), edges["b"].to_numpy())
+        a, b = (np.array(edges.column(c).to_pylist(), dtype=object) for c in ("a", "b"))
+        nodes, roots = roots_of(a, b)
         moved = nodes != roots
-        yield pd.DataFrame({"a": nodes[moved], "b": roots[moved]})
+        kind = edges.schema.field("a").type
+        yield pa.RecordBatch.from_arrays([pa.array(x[moved].tolist(), kind) for x in (nodes, roots)], ["a", "b"])
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -91,7 +93,7 @@ def components(edges: DataFrame) -> DataFrame:
     kind = edges.schema["a"].dataType.simpleString()
     clean = edges.select("a", "b").where(F.col("a").isNotNull() & F.col("b").isNotNull()
                                          & (F.col("a") != F.col("b")))
-    current = keep(clean.mapInPandas(_forest, f"a {kind}, b {kind}"), "forest")
+    current = keep(clean.mapInArrow(_forest, f"a {kind}, b {kind}"), "forest")
     seen = None
     while True:
         state = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -16,8 +16,8 @@ SAMPLE_DOCS = 400
 MOST_LANGUAGES = 64
 # Texts are parsed in segments of this many symbols, all of them; a segment's end closes a phrase.
 SEGMENT = 1024
-SEGMENTS_AT_ONCE = 4096
-CHUNK = 4 << 20
+SEGMENTS_AT_ONCE = 2048
+CHUNK = 2 << 20
 BREAK = 0x20
 
 

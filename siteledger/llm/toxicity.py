@@ -301,23 +301,25 @@ def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: st
 
 
 def drop_toxic(docs: DataFrame, model: Model | None, text: str = "text", least: float = 0.5) -> DataFrame:
-    """Documents that score below ``least``, with all their columns; nothing is shuffled.  Scores as in ``score``."""
+    """Documents that score below ``least``, with all their columns; nothing is shuffled.  Scores as in ``score``.
+
+    Whole rows pass through in small batches, so that the JVM keeps no queue of rows that wait for a score.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("double")
-    def score_of(texts: pa.Array) -> pa.Array:
+    def run(batches):
         known = sent.value
-        data, offsets = column_bytes(texts)
-        scores = [np.zeros(0)]
-        for a, b in chunks(offsets, CHUNK):
-            if known is None:
-                scores.append(np.zeros(b - a))
-            else:
-                *_, row, logit = known.tokens(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-                scores.append(known.scores(row, logit, b - a))
-        return pa.array(np.concatenate(scores))
-
-    return docs.where(score_of(F.col(text)) < least)
+        for batch in batches:
+            if known is not None:
+                data, offsets = column_bytes(batch.column(text))
+                clean = [np.zeros(0, bool)]
+                for a, b in chunks(offsets, CHUNK):
+                    *_, row, logit = known.tokens(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                    clean.append(known.scores(row, logit, b - a) < least)
+                batch = batch.filter(pa.array(np.concatenate(clean)))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def training_rows(rows: DataFrame, doc_id: str = "doc_id", parts: int = 5) -> DataFrame:
