@@ -6,6 +6,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
@@ -34,9 +35,8 @@ class Encoder:
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        path = public_tokenizers.path(vocabulary)
-        self.whole = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as file:
+        self.path = public_tokenizers.path(vocabulary)
+        with open(self.path, encoding="utf-8") as file:
             rules = json.load(file)
         # For single words that are already split and lower-cased.
         rules |= {"normalizer": None, "added_tokens": [],
@@ -44,6 +44,11 @@ class Encoder:
         self.of_word = Tokenizer.from_str(json.dumps(rules))
         self.known: dict[str, bytes] = {}
 
+    @cached_property
+    def whole(self) -> Tokenizer:
+        """The vocabulary as it is; loaded only where a text needs it, as it takes much memory."""
+        return Tokenizer.from_file(self.path)
+
     def learn(self, words: set[str]) -> None:
         if len(self.known) + len(words) > CACHE_WORDS:
             self.known.clear()
