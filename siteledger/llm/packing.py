@@ -38,6 +38,9 @@ class Encoder:
         self.path = public_tokenizers.path(vocabulary)
         with open(self.path, encoding="utf-8") as file:
             rules = json.load(file)
+        # Found anywhere in a text before it is split; lower-cased, as some are looked for in normalised text.
+        added = [re.escape(t["content"].lower()) for t in rules["added_tokens"]]
+        self.added = re.compile("|".join(added) or "(?!)")
         # For single words that are already split and lower-cased.
         rules |= {"normalizer": None, "added_tokens": [],
                   "pre_tokenizer": rules["pre_tokenizer"]["pretokenizers"][-1]}
@@ -62,11 +65,12 @@ class Encoder:
 
         The vocabulary merges inside words only, so a word's ids do not depend on its neighbours.
         Texts with characters beyond Latin-1 go to the tokenizer as they are, because its
-        normalisation could differ from Python's there.
+        normalisation could differ from Python's there; so do texts that hold an added token.
         """
         for a in range(0, len(texts), TEXTS_AT_ONCE):
             part = [text or "" for text in texts[a:a + TEXTS_AT_ONCE]]
-            split = [WORD.findall(t.lower()) if PLAIN.fullmatch(t) else None for t in part]
+            lower = [t.lower() if PLAIN.fullmatch(t) else None for t in part]
+            split = [None if t is None or self.added.search(t) else WORD.findall(t) for t in lower]
             self.learn(set().union(*filter(None, split)))
             for text, words in zip(part, split, strict=True):
                 if words is None:

@@ -249,6 +249,14 @@ def test_word_ids_equal_those_of_the_whole_text():
         assert np.frombuffer(ids, "<u4").tolist() == made.whole.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_in_a_text_keep_their_ids():
+    made = packing.Encoder("word_bpe_49k.json")
+    texts = ["one <|endoftext|> two", "<|startoftext|>one", "<|ENDOFTEXT|>x", "a<|endoftext|><|endoftext|>", "<| endoftext |>", "plain"]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in made.encode(texts)]
+    assert got == [made.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert made.whole.token_to_id("<|endoftext|>") in got[0]
+
+
 def test_assignment_takes_the_cheapest_sequence_with_room():
     pieces = packing.assign([5, 4, 3, 3, 1], capacity=8)
     loads = {}
