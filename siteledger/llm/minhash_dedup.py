@@ -294,6 +294,30 @@ def _other_pairs(opened: DataFrame, nodes: DataFrame, sets: DataFrame, percent:
     return placed.mapInArrow(_join_components(percent, bands, rows), "a_id bigint, b_id bigint").distinct()
 
 
+def _rooted(docs: DataFrame, doc_id: str, text: str, width: int, percent: int, bands: int, rows: int
+            ) -> tuple[DataFrame, DataFrame]:
+    """Rows with words (doc_id, th, n, root), equal in root if of one component; and the rows without words."""
+    slots = bands * rows
+    made = keep(signatures(docs, doc_id, text, width, slots), "signatures")
+    full = made.where("n > 0")
+    nodes = keep(full.groupBy("key").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.first("id").alias("id"),
+                                         F.first("n").alias("n"), F.first("slots").alias("slots"))
+                 .select("key", F.col("rep.th").alias("th"), "id", "n", "slots"), "nodes")
+    buckets = nodes.select(F.explode(_bands(bands, rows)("slots")).alias("bucket"), "id")
+    shared = keep(_shared_buckets(buckets), "shared-buckets")
+    sets = keep(_sets_of(shared, nodes, docs, doc_id, text, width), "sets")
+    links = keep(_verify(keep(_hub_pairs(shared, nodes, percent, slots), "hub-pairs"), sets, percent), "hub-links")
+    by_id = nodes.select("key", "id")
+    roots = components(links).join(by_id.withColumnRenamed("key", "node"), "node") \
+        .join(by_id.select(F.col("key").alias("root"), F.col("id").alias("root_id")), "root")
+    opened = keep(_open_buckets(shared, roots.select("id", F.col("root_id").alias("root"))), "open-buckets")
+    others = keep(_other_pairs(opened, nodes, sets, percent, bands, rows), "other-pairs")
+    roots = components(links.union(_verify(others, sets, percent)))
+    members = full.select("doc_id", "th", "n", "key").join(roots.select(F.col("node").alias("key"), "root"), "key", "left") \
+        .withColumn("root", F.coalesce("root", "key"))
+    return members, made.where("n = 0")
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4,
             percent: int = 80, bands: int = BANDS, rows: int = ROWS_PER_BAND) -> DataFrame:
     """doc_id, n_shingles, component_id for every row; linked documents share component_id.
@@ -315,27 +339,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     component_id.  Repeated rows appear each.  No rows give no rows; other columns are not
     looked at.  Runs jobs; steps are written to the shared folder.
     """
-    slots = bands * rows
-    made = keep(signatures(docs, doc_id, text, width, slots), "signatures")
-    full = made.where("n > 0")
-    nodes = keep(full.groupBy("key").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.first("id").alias("id"),
-                                         F.first("n").alias("n"), F.first("slots").alias("slots"))
-                 .select("key", F.col("rep.th").alias("th"), "id", "n", "slots"), "nodes")
-    buckets = nodes.select(F.explode(_bands(bands, rows)("slots")).alias("bucket"), "id")
-    shared = keep(_shared_buckets(buckets), "shared-buckets")
-    sets = keep(_sets_of(shared, nodes, docs, doc_id, text, width), "sets")
-    links = keep(_verify(keep(_hub_pairs(shared, nodes, percent, slots), "hub-pairs"), sets, percent), "hub-links")
-    by_id = nodes.select("key", "id")
-    roots = components(links).join(by_id.withColumnRenamed("key", "node"), "node") \
-        .join(by_id.select(F.col("key").alias("root"), F.col("id").alias("root_id")), "root")
-    opened = keep(_open_buckets(shared, roots.select("id", F.col("root_id").alias("root"))), "open-buckets")
-    others = keep(_other_pairs(opened, nodes, sets, percent, bands, rows), "other-pairs")
-    roots = components(links.union(_verify(others, sets, percent)))
-    members = full.select("doc_id", "n", "key").join(roots.select(F.col("node").alias("key"), "root"), "key", "left") \
-        .withColumn("root", F.coalesce("root", "key"))
+    members, bare = _rooted(docs, doc_id, text, width, percent, bands, rows)
     least = members.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     linked = members.join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = made.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    empty = bare.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionAll(empty)
 
 
@@ -343,15 +350,17 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                      percent: int = 80) -> DataFrame:
     """One document of each component stays, with all its columns: that of the smallest id.
 
-    Documents without words stay.  Of rows repeated with the same id one of the component stays;
-    a component of null ids only keeps all its rows, as there is no id to tell them apart.
+    A document is a row's id and text: a repeated id loses only the texts that are near copies, of which the
+    one of smallest hash stays if they share the smallest id.  A null id comes after all others.  Rows
+    repeated with the same id and text are one document, and stay or go together.  Documents without words stay.
     """
-    found = classes(docs, doc_id, text, width, percent)
-    losers = found.where(F.col("component_id").isNotNull()
-                         & ~F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .select(F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("lost")).distinct()
-    rows = docs.select(F.xxhash64(doc_id).alias("h"), F.col(doc_id).alias("own_id"), F.struct("*").alias("row"))
+    members, _ = _rooted(docs, doc_id, text, width, percent, BANDS, ROWS_PER_BAND)
+    first = members.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("first")).select("root", "first.th")
+    losers = members.join(first.withColumnRenamed("th", "stays"), "root").where("th != stays") \
+        .select("th", F.col("doc_id").alias("lost")).distinct()
+    rows = docs.select(F.xxhash64(doc_id, text).alias("th"), F.col(doc_id).alias("own_id"), F.struct("*").alias("row"))
     losers = keep(losers, "losers")
-    maybe, sure = listed_or_not(rows, "h", losers)
-    kept = maybe.join(losers.drop("h"), F.col("own_id").eqNullSafe(F.col("lost")), "left_anti")
-    return sure.unionAll(kept).select("row.*")
+    maybe, sure = listed_or_not(rows, "th", losers)
+    lost = (maybe["th"] == losers["th"]) & F.col("own_id").eqNullSafe(F.col("lost"))
+    return sure.unionAll(maybe.join(losers, lost, "left_anti")).select("row.*")

@@ -146,6 +146,23 @@ def test_near_copies_of_odd_documents(odd_documents):
     assert minhash_dedup.classes(odd_documents.limit(0)).count() == 0
 
 
+def test_near_copies_are_told_apart_by_id_and_text(documents):
+    rng = random.Random(11)
+    base, other, third, fourth = ([f"{c}{rng.randrange(10**6)}" for _ in range(60)] for c in "abcd")
+
+    def tail(words, end):
+        return " ".join([*words, end])
+    rows = [(1, " ".join(base)), (None, tail(base, "x")), (None, "a clean text without any id at all"),
+            (None, "another clean text that has no id either"), (5, tail(base, "y")), (5, "a second text of the id five stays here"),
+            (7, " ".join(other)), (7, tail(other, "x")), (7, tail(other, "y")), (None, " ".join(third)), (None, tail(third, "x")),
+            (None, " ".join(fourth)), (9, tail(fourth, "x"))]
+    kept = [tuple(r) for r in dropped(minhash_dedup.drop_near_copies(documents(*rows)))]
+    assert len(kept) == len(set(kept)) == 7
+    assert {rows[0], rows[2], rows[3], rows[5], rows[12]} <= set(kept)
+    assert sum(r in kept for r in rows[6:9]) == sum(r in kept for r in rows[9:11]) == 1
+    assert not {rows[1], rows[4], rows[11]} & set(kept)
+
+
 # ---- repeated passages
 
 def test_compact_windows_match_brute_force():
