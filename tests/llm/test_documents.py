@@ -210,6 +210,30 @@ def test_passages_of_fifty_words_are_found_and_clean_documents_left_alone(docume
     assert all(set(before[i]) - set(kept[i]) <= set().union(*passages) for i in dirty)
 
 
+def test_a_passage_that_repeats_itself_is_found():
+    value = np.r_[np.tile(np.arange(30), 5), np.arange(100, 112)].astype(textnum.U64)
+    assert substring_dedup.near_passages(value, value, 46, 80) == [(0, 161, 0, 161)]
+
+
+def test_passages_are_found_whatever_the_hub_of_their_windows(documents, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "BLOCK", 7)     # several pieces for one group
+    rng = random.Random(13)
+    passages = [fresh(rng, 60) for _ in range(4)]
+    phrases = [[p[k:k + 5] for k in range(0, 56, 5)] for p in passages]
+    docs = []
+    for i in range(30):
+        # Texts that share phrases of a passage only; some of them are the first of each phrase's windows.
+        docs.append((i, " ".join(x for p in phrases for phrase in p for x in [*fresh(rng, 45), *phrase])))
+    docs += [(100 + i, " ".join([*fresh(rng, 80), *passages[i % 4], *fresh(rng, 80)])) for i in range(12)]
+    # The second place of a phrase is the one with the passage.
+    docs += [(200, " ".join([*fresh(rng, 60), *passages[0][20:30], *fresh(rng, 60), *passages[0]]))]
+    kept = {r["doc_id"]: r["text"].split() for r in substring_dedup.drop_repeats(documents(*docs)).collect()}
+    assert all(kept[i] == t.split() for i, t in docs[:30])
+    for p in passages:
+        for k in range(11):
+            assert sum(" ".join(p[k:k + 50]) in " ".join(w) for w in kept.values()) == 1
+
+
 def test_repeats_of_odd_documents(odd_documents):
     kept = substring_dedup.drop_repeats(odd_documents)
     assert kept.columns == odd_documents.columns
