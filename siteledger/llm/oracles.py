@@ -90,3 +90,60 @@ g AS (SELECT turns, min(conv_id) AS conv_id, count(*) AS n_equal FROM c GROUP BY
 SELECT a.conv_id, 0 AS part, len(a.turns)::INTEGER AS n_turns, a.n_equal, array_to_string(a.turns, '') AS rendered
 FROM g a WHERE NOT EXISTS (SELECT 1 FROM g b WHERE len(b.turns) > len(a.turns) AND b.turns[1:len(a.turns)] = a.turns)
 """
+
+ORACLES["op11_merkle_manifest"] = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS g, n_chars, row_number() OVER () AS nr,
+           CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id END
+           || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+           || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END AS head,
+           CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS tail,
+           list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+               range(1, strlen(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT)),
+               lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+                                        lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))) AS state
+    FROM documents),
+h AS (
+    SELECT doc_id, g, nr,
+           sha256(head || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(n_chars::VARCHAR) || ':' || n_chars END || tail) AS leaf,
+           CASE WHEN xor(state, 4294967295) % 7 = 0 THEN sha256(head || CASE WHEN n_chars IS NULL THEN '-'
+               ELSE strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1) END || tail) END AS tampered
+    FROM d),
+leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, nr) - 1 AS pos,
+           count(*) OVER (PARTITION BY g) AS n
+    FROM h),
+nodes(g, lvl, pos, digest, n) AS (
+    SELECT g, 0::BIGINT, pos, leaf, n FROM leaves
+    UNION ALL
+    SELECT g, any_value(lvl) + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 1) // 2
+    FROM nodes WHERE n > 1 GROUP BY g, pos // 2),
+subroots AS (
+    SELECT g, digest AS subroot, lvl AS height, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n
+    FROM nodes WHERE n = 1),
+tops(lvl, pos, digest, n) AS (
+    SELECT 0::BIGINT, pos, subroot, n FROM subroots
+    UNION ALL
+    SELECT any_value(lvl) + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 1) // 2
+    FROM tops WHERE n > 1 GROUP BY pos // 2),
+steps AS (
+    SELECT l.nr, x.lvl, x.digest, x.pos < (l.pos >> x.lvl) AS is_left
+    FROM leaves l JOIN nodes x ON x.g = l.g AND x.pos = xor(l.pos >> x.lvl, 1)
+    UNION ALL
+    SELECT l.nr, s.height + x.lvl, x.digest, x.pos < (s.pos >> x.lvl)
+    FROM leaves l JOIN subroots s ON s.g = l.g JOIN tops x ON x.pos = xor(s.pos >> x.lvl, 1)),
+climbs AS (
+    SELECT l.nr, s.height + (SELECT max(lvl) FROM tops) AS height FROM leaves l JOIN subroots s USING (g)),
+fold(nr, lvl, own) AS (
+    SELECT nr, 0::BIGINT, coalesce(tampered, leaf) FROM leaves
+    UNION ALL
+    SELECT f.nr, f.lvl + 1, sha256(CASE WHEN s.is_left THEN s.digest ELSE '' END || f.own
+                                   || CASE WHEN s.is_left THEN '' ELSE coalesce(s.digest, '') END)
+    FROM fold f JOIN climbs c ON c.nr = f.nr LEFT JOIN steps s ON s.nr = f.nr AND s.lvl = f.lvl WHERE f.lvl < c.height),
+proofs AS (
+    SELECT l.nr, sha256(coalesce(string_agg(s.digest, '' ORDER BY s.lvl), '')) AS proof_sha256
+    FROM leaves l LEFT JOIN steps s USING (nr) GROUP BY l.nr)
+SELECT l.doc_id, l.leaf, s.subroot, r.digest AS root, p.proof_sha256, f.own AS folded_root, f.own = r.digest AS verified
+FROM leaves l JOIN subroots s USING (g) JOIN proofs p USING (nr) JOIN climbs c USING (nr)
+JOIN fold f ON f.nr = l.nr AND f.lvl = c.height JOIN tops r ON r.n = 1
+"""

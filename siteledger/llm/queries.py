@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, embedding_dedup, exact_dedup, language_id, minhash_dedup, packing, sentencepiece_nbest, \
-    substring_dedup, toxicity, url_filters
+from . import chat_format, embedding_dedup, exact_dedup, language_id, merkle_manifest, minhash_dedup, packing, \
+    sentencepiece_nbest, substring_dedup, toxicity, url_filters
 from .common import table
 
 # The rules of the url query, and the sites whose pages make up its list.
@@ -87,8 +87,16 @@ def op10_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents; one in seven claims a character more than it was registered with."""
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    claimed = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, merkle_manifest.leaf_digest(
+        F.col("doc_id"), F.col("source"), F.col("lang"), more, F.col("text")))
+    return merkle_manifest.verify(table(spark, sf_dir, "documents"), claimed=claimed)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
         op1_toxicity, op2_language_id, op3_embedding_dedup, op4_chat_format, op5_packing,
         op6_minhash_dedup, op7_exact_dedup, op8_substring_dedup, op9_url_filters,
-        op10_sentencepiece_nbest)}
+        op10_sentencepiece_nbest, op11_merkle_manifest)}
