@@ -147,3 +147,57 @@ SELECT l.doc_id, l.leaf, s.subroot, r.digest AS root, p.proof_sha256, f.own AS f
 FROM leaves l JOIN subroots s USING (g) JOIN proofs p USING (nr) JOIN climbs c USING (nr)
 JOIN fold f ON f.nr = l.nr AND f.lvl = c.height JOIN tops r ON r.n = 1
 """
+
+ORACLES["op12_secret_scan"] = r"""
+WITH patterns(rank, kind, pattern, grp, least) AS (VALUES
+    (0, 'assign', '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+    (1, 'access', 'AKIA[A-Z0-9]{16,}', 0, 20), (2, 'hex', '[0-9a-f]{24,}', 0, 24), (3, 'random', '[A-Za-z0-9+/_=-]{16,}', 0, 16)),
+d AS (SELECT row_number() OVER () AS nr, doc_id, coalesce(text, '') AS text FROM documents),
+m AS (
+    SELECT nr, text, rank, kind, least, grp, regexp_extract_all(text, pattern) AS matches,
+           regexp_split_to_array(text, pattern) AS pieces, pattern
+    FROM d, patterns),
+e AS (
+    SELECT nr, rank, kind, least, unnest(matches) AS match, unnest(range(1, len(matches) + 1)) AS i, pieces, matches, grp, pattern
+    FROM m),
+s AS (
+    SELECT nr, rank, kind, least, match, CASE WHEN grp = 2 THEN regexp_extract(match, pattern, 2) ELSE match END AS value,
+           sum(length(pieces[i]) + length(match)) OVER (PARTITION BY nr, rank ORDER BY i) AS stop
+    FROM e),
+spans AS (
+    SELECT nr, rank, kind, value, (stop - length(match))::BIGINT AS start, stop::BIGINT AS stop
+    FROM s WHERE length(value) >= least),
+base AS (SELECT * FROM spans WHERE rank < 3),
+runs AS (
+    SELECT * FROM spans r WHERE rank = 3
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.nr = r.nr AND b.start < r.stop AND r.start < b.stop)),
+labelled AS (
+    SELECT DISTINCT value, true AS random FROM base WHERE length(value) >= 16
+    UNION ALL SELECT DISTINCT value, false FROM runs),
+pairs AS (SELECT random, value, unnest(range(1, length(value))) AS i FROM labelled),
+counted AS (
+    SELECT random, ascii(substr(value, i, 1)) AS a, ascii(substr(value, i + 1, 1)) AS b, count(*) AS n FROM pairs GROUP BY ALL),
+heads AS (SELECT random, a, sum(n)::BIGINT AS n FROM counted GROUP BY ALL),
+judged AS (
+    SELECT r.nr, r.start, r.stop, sum(floor(ln(((coalesce(n1.n, 0) + 1) * (coalesce(h0.n, 0) + 80))::DOUBLE
+               / ((coalesce(n0.n, 0) + 1) * (coalesce(h1.n, 0) + 80))) * 1000)) AS ratio
+    FROM (SELECT *, unnest(range(1, length(value))) AS i FROM runs) r
+    LEFT JOIN counted n1 ON n1.random AND n1.a = ascii(substr(r.value, r.i, 1)) AND n1.b = ascii(substr(r.value, r.i + 1, 1))
+    LEFT JOIN counted n0 ON NOT n0.random AND n0.a = ascii(substr(r.value, r.i, 1)) AND n0.b = ascii(substr(r.value, r.i + 1, 1))
+    LEFT JOIN heads h1 ON h1.random AND h1.a = ascii(substr(r.value, r.i, 1))
+    LEFT JOIN heads h0 ON NOT h0.random AND h0.a = ascii(substr(r.value, r.i, 1))
+    GROUP BY ALL),
+every AS (
+    SELECT nr, rank, kind, start, stop FROM base
+    UNION ALL SELECT nr, 3, 'random', start, stop FROM judged
+    WHERE ratio >= 6908 AND (SELECT count(DISTINCT random) FROM counted) = 2),
+lists AS (
+    SELECT nr, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+           count(*) FILTER (rank = 2) AS n_hex,
+           string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank < 3) AS base,
+           string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans
+    FROM every GROUP BY nr)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(l.base, '')) AS base_sha256, coalesce(l.spans, '') AS spans
+FROM d LEFT JOIN lists l USING (nr)
+"""
