@@ -201,3 +201,29 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
        sha256(coalesce(l.base, '')) AS base_sha256, coalesce(l.spans, '') AS spans
 FROM d LEFT JOIN lists l USING (nr)
 """
+
+ORACLES["op13_ranked_search"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS nr, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents),
+t AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_total FROM d WHERE len(terms) > 0),
+q AS (
+    SELECT DISTINCT item_id, text, unnest(list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+    FROM benchmark),
+p AS (
+    SELECT nr, term, count(*) AS tf FROM (SELECT nr, unnest(terms) AS term FROM d)
+    WHERE term IN (SELECT term FROM q) GROUP BY nr, term),
+w AS (
+    SELECT term, floor(1000 * ln((2 * (SELECT n_docs FROM t) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM p GROUP BY term),
+scored AS (
+    SELECT q.item_id, q.text, p.nr, d.doc_id,
+           sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (100 - 90 + (90 * len(d.terms) * t.n_docs) // t.n_total))))::BIGINT AS score
+    FROM q JOIN p USING (term) JOIN w USING (term) JOIN d USING (nr), t GROUP BY ALL),
+ranked AS (
+    SELECT item_id, (row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank, doc_id, score
+    FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import chat_format, embedding_dedup, exact_dedup, language_id, merkle_manifest, minhash_dedup, packing, \
-    secret_scan, sentencepiece_nbest, substring_dedup, toxicity, url_filters
+    ranked_search, secret_scan, sentencepiece_nbest, substring_dedup, toxicity, url_filters
 from .common import table
 
 # The rules of the url query, and the sites whose pages make up its list.
@@ -101,8 +101,13 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.listed(F.col("spans")).alias("spans"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranked_search.build(table(spark, sf_dir, "documents"))
+    return ranked_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
         op1_toxicity, op2_language_id, op3_embedding_dedup, op4_chat_format, op5_packing,
         op6_minhash_dedup, op7_exact_dedup, op8_substring_dedup, op9_url_filters,
-        op10_sentencepiece_nbest, op11_merkle_manifest, op12_secret_scan)}
+        op10_sentencepiece_nbest, op11_merkle_manifest, op12_secret_scan, op13_ranked_search)}
