@@ -178,10 +178,15 @@ pairs AS (SELECT random, value, unnest(range(1, length(value))) AS i FROM labell
 counted AS (
     SELECT random, ascii(substr(value, i, 1)) AS a, ascii(substr(value, i + 1, 1)) AS b, count(*) AS n FROM pairs GROUP BY ALL),
 heads AS (SELECT random, a, sum(n)::BIGINT AS n FROM counted GROUP BY ALL),
+tails AS (SELECT random, b, sum(n)::BIGINT AS n FROM counted GROUP BY ALL),
+whole AS (SELECT (coalesce(sum(n) FILTER (random), 0))::BIGINT AS n1, (coalesce(sum(n) FILTER (NOT random), 0))::BIGINT AS n0 FROM counted),
 judged AS (
-    SELECT r.nr, r.start, r.stop, sum(floor(ln(((coalesce(n1.n, 0) + 1) * (coalesce(h0.n, 0) + 80))::DOUBLE
-               / ((coalesce(n0.n, 0) + 1) * (coalesce(h1.n, 0) + 80))) * 1000)) AS ratio
-    FROM (SELECT *, unnest(range(1, length(value))) AS i FROM runs) r
+    SELECT r.nr, r.start, r.stop, sum(floor(1000 * ln(
+               ((coalesce(n1.n, 0) + 80 * ((coalesce(t1.n, 0) + 1)::DOUBLE / (whole.n1 + 80))) / (coalesce(h1.n, 0) + 80))
+               / ((n0.n - 1 + 80 * (t0.n::DOUBLE / (whole.n0 - 1 + 80))) / (h0.n - 1 + 80))))) AS ratio
+    FROM whole, (SELECT *, unnest(range(1, length(value))) AS i FROM runs) r
+    LEFT JOIN tails t1 ON t1.random AND t1.b = ascii(substr(r.value, r.i + 1, 1))
+    LEFT JOIN tails t0 ON NOT t0.random AND t0.b = ascii(substr(r.value, r.i + 1, 1))
     LEFT JOIN counted n1 ON n1.random AND n1.a = ascii(substr(r.value, r.i, 1)) AND n1.b = ascii(substr(r.value, r.i + 1, 1))
     LEFT JOIN counted n0 ON NOT n0.random AND n0.a = ascii(substr(r.value, r.i, 1)) AND n0.b = ascii(substr(r.value, r.i + 1, 1))
     LEFT JOIN heads h1 ON h1.random AND h1.a = ascii(substr(r.value, r.i, 1))

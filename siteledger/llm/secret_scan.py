@@ -5,7 +5,7 @@ DataFrame functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import keep
 
@@ -93,8 +93,10 @@ def _pairs(value: Column) -> Column:
 def fit(labelled: DataFrame) -> list[int] | None:
     """Log-likelihood ratio of each pair of symbols, in thousandths of a nat: random strings against the others.
 
-    ``labelled`` has ``value`` (symbols from ``+`` to ``z`` only) and ``random``.  Both models are first-order chains with
-    one added to each count.  The table has SYMBOLS squared entries, whatever the input.  None if a label is missing.  Runs a job.
+    ``labelled`` has ``value`` (symbols from ``+`` to ``z`` only) and ``random``.  Both models are first-order chains that fall
+    back on how often a symbol follows at all, with the weight of SYMBOLS observations.  A run that is judged is itself among
+    the identifiers, so each pair counts once less there: an unknown secret does not make its own pairs likely.  The table has SYMBOLS squared entries, whatever the input.
+    None if a label is missing.  Runs a job.
     """
     pairs = labelled.where(F.length("value") > 1).select("random", F.explode(_pairs(F.col("value"))).alias("pair"))
     counts = {(r["random"], r["pair"]): r["n"] for r in
@@ -102,12 +104,15 @@ def fit(labelled: DataFrame) -> list[int] | None:
     if len({label for label, _ in counts}) < 2:
         return None
     spark, size = labelled.sparkSession, SYMBOLS * SYMBOLS
-    rows = [(p, counts.get((True, p), 0), counts.get((False, p), 0)) for p in range(size)]
-    sums = [[sum(r[label] for r in rows[a * SYMBOLS:(a + 1) * SYMBOLS]) for label in (1, 2)] for a in range(SYMBOLS)]
-    table = spark.createDataFrame([(*r, *sums[r[0] // SYMBOLS]) for r in rows],
-                                  "pair int, n1 bigint, n0 bigint, s1 bigint, s0 bigint")
-    likelier = F.log((F.col("n1") + 1) * (F.col("s0") + SYMBOLS) / ((F.col("n0") + 1) * (F.col("s1") + SYMBOLS)))
-    found = table.select("pair", F.floor(likelier * 1000).cast("int").alias("ratio")).collect()
+    table = spark.createDataFrame([(p, counts.get((True, p), 0), counts.get((False, p), 0)) for p in range(size)],
+                                  "pair int, n1 bigint, n0 bigint")
+    likely = []
+    for n, less in (("n1", 0), ("n0", 1)):
+        sums = [F.greatest(F.sum(n).over(Window.partitionBy(key)) - less, F.lit(0)) for key in (
+            F.floor(F.col("pair") / SYMBOLS), F.col("pair") % SYMBOLS, F.lit(0))]
+        share = (sums[1] + 1).cast("double") / (sums[2] + SYMBOLS)
+        likely.append((F.greatest(F.col(n) - less, F.lit(0)) + SYMBOLS * share) / (sums[0] + SYMBOLS))
+    found = table.select("pair", F.floor(1000 * F.log(likely[0] / likely[1])).cast("int").alias("ratio")).collect()
     return [r["ratio"] for r in sorted(found)]
 
 

@@ -15,10 +15,10 @@ def test_query_matches_statement(spark, duck, name, sf):
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
-@pytest.mark.parametrize("name", ["op4_chat_format", "op7_exact_dedup", "op9_url_filters"])
+@pytest.mark.parametrize("name", ["op4_chat_format", "op7_exact_dedup", "op9_url_filters", "op12_secret_scan"])
 def test_native_queries_run_no_python(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
