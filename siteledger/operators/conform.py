@@ -39,6 +39,32 @@ def salted_join(df: DataFrame, dim: DataFrame, on: str, how: str = "inner",
     return left.join(right, [on, "_salt"], how).drop("_salt")
 
 
+def heavy_values(df: DataFrame, column: str, counters: int = 100) -> list:
+    """Values that may hold more than 1/counters of the rows, ``counters`` at most, by a Misra-Gries sketch.  Runs a job."""
+    found = df.stat.freqItems([column], 1.0 / counters).first()[0]
+    return sorted(v for v in found if v is not None)
+
+
+def skew_join(df: DataFrame, dim: DataFrame, on: str, how: str = "inner", salts: int = 32,
+              heavy: Sequence | None = None) -> DataFrame:
+    """Equi-join a dimension (unique on ``on``) where a few keys hold a large part of the rows.
+
+    Only the heavy keys are salted: their rows are dealt over ``salts`` tasks by their place in the input, equal
+    rows too, and only their few dimension rows are repeated.  All other rows meet as in any join.  ``heavy`` is what
+    ``heavy_values`` found (it is asked if not given); a wrong or missing key costs time, never a row.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("a salted join keeps or drops left rows only")
+    keys = heavy_values(df, on) if heavy is None else list(heavy)
+    if not keys:
+        return df.join(dim, on, how)
+    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int")
+    many = F.array(*[F.lit(i) for i in range(salts)])
+    left = df.withColumn("_salt", F.when(F.col(on).isin(keys), place).otherwise(0))
+    right = dim.withColumn("_salt", F.explode(F.when(F.col(on).isin(keys), many).otherwise(F.array(F.lit(0)))))
+    return left.join(right, [on, "_salt"], how).drop("_salt")
+
+
 def resolve_alias(df: DataFrame, name: str, aliases: DataFrame, alias: str = "alias",
                   item_id: str = "item_id", how: str = "inner", salts: int = 1) -> DataFrame:
     """Attach the canonical id of a free-text name; unmapped rows drop unless ``how='left'``."""

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import band
 from ..operators import costs, growth, hierarchy, metrics, mix, reconcile, streaks
 from ..operators.conform import ambiguous_aliases, resolve_alias, unmapped_names
+from ..sources.landing import pin
 from . import bindings as b
 
 COMP_RATE = 0.05
@@ -15,6 +16,7 @@ FOLDS = {"PROMO": "ECONOMY"}
 WINDOWS = {"pre": ("1996-12-01", "1997-02-28"), "post": ("1999-09-01", "1999-11-30")}
 BRIDGE_WINDOWS = {"baseline": ("1996-01-01", "1996-12-31"),
                   "trailing": ("2000-07-01", "2001-06-30")}
+GROWTH_SPANS = ("1998-01-01", "1998-06-30"), ("1997-01-01", "1997-06-30")
 NOW, BASE = ("2001-01-01", "2001-06-30"), ("2000-01-01", "2000-06-30")
 BRIDGE_UNIT = "NATION_7"
 STREAK_THRESHOLD = 38.0
@@ -25,6 +27,11 @@ HOUR_BANDS = [("night", 0, 5), ("morning", 6, 11), ("midday", 12, 17)]
 BAND_ORDER = ["night", "morning", "midday", "evening"]
 
 
+def hull(spans: dict[str, tuple[str, str]]) -> tuple[str, str]:
+    """The date range from the first start to the last end of named windows."""
+    return min(s[0] for s in spans.values()), max(s[1] for s in spans.values())
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Output types for reports: exact decimals leave as double, small ints as int."""
     def column(name: str, kind: str) -> Column:
@@ -85,7 +92,8 @@ def openings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def a04a_comparable_growth(spark: SparkSession, sf_dir: str, both_ends: bool = True) -> DataFrame:
-    monthly = b.monthly_orders(spark, sf_dir)
+    # Unit-months are few, and every step reads them: written once.
+    monthly = pin(b.monthly_orders(spark, sf_dir), "unit-months")[0]
     opened = monthly.groupBy("unit").agg(F.min("month_start").alias("open_date"))
     return growth.comparable_growth(monthly, opened, b.unit_eras(spark, sf_dir), "unit", "value",
                                     both_ends=both_ends)
@@ -99,7 +107,7 @@ def a04b_two_period_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans around the re-coding, so that the converted units are left out."""
     return growth.two_period_growth(
         b.headers(spark, sf_dir), openings(spark, sf_dir), b.unit_eras(spark, sf_dir), "unit",
-        "day", "order_value", ("1998-01-01", "1998-06-30"), ("1997-01-01", "1997-06-30"))
+        "day", "order_value", *GROWTH_SPANS)
 
 
 def a05_ratio_vs_target(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,8 +124,9 @@ def a06a_quadrants(spark: SparkSession, sf_dir: str) -> DataFrame:
     sold = b.sales(spark, sf_dir).filter("state = 'sale'") \
         .groupBy("part", era.alias("era")).agg(F.sum("qty").alias("units"))
     items = sold.join(b.parts(spark, sf_dir), "part") \
-        .withColumn("category", mix.fold_labels("category", FOLDS))
-    return plain(mix.quadrants(items, ["category", "era"], "part", "units", "price", "unit_cost"))
+        .select(mix.fold_labels("category", FOLDS).alias("category"), "era", "part", "units", "price", "unit_cost")
+    # Few rows beside the lines, and every median reads them: written once.
+    return plain(mix.quadrants(pin(items, "sold-items")[0], ["category", "era"], "part", "units", "price", "unit_cost"))
 
 
 def a06b_top_three(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,8 +207,9 @@ def a08_streaks_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streaks.streaks(_weekly_flags(spark, sf_dir), "area", consecutive="observed")
 
 
-def both_books(spark: SparkSession, sf_dir: str, how: str = "full_outer") -> DataFrame:
-    left, right = b.books(spark, sf_dir)
+def both_books(spark: SparkSession, sf_dir: str, how: str = "full_outer", span: tuple[str, str] | None = None
+               ) -> DataFrame:
+    left, right = b.books(spark, sf_dir, span)
     return reconcile.two_books(left, right, ["unit", "day"], "net", "booked", how)
 
 
@@ -228,7 +238,7 @@ def a10a_price_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def a10b_ratio_in_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sums = costs.window_sums(b.ticket_costs(spark, sf_dir), ["unit"], "day",
+    sums = costs.window_sums(b.ticket_costs(spark, sf_dir, hull(WINDOWS)), ["unit"], "day",
                              ["purchases", "net"], WINDOWS)
     return costs.ratio_in_windows(sums, "unit", "purchases", "net", "pre", "post")
 
@@ -272,12 +282,12 @@ def a11c_era_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def a12a_cost_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.ticket_costs(spark, sf_dir, unit=BRIDGE_UNIT)
+    rows = b.ticket_costs(spark, sf_dir, hull(BRIDGE_WINDOWS), BRIDGE_UNIT)
     return costs.cost_bridge(rows, "day", "net", "labor", "purchases", BRIDGE_WINDOWS)
 
 
 def a12b_target_miss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.ticket_costs(spark, sf_dir, unit=BRIDGE_UNIT)
+    rows = b.ticket_costs(spark, sf_dir, BRIDGE_WINDOWS["trailing"], BRIDGE_UNIT)
     return costs.target_miss(rows, "day", "net", ["labor", "purchases"],
                              BRIDGE_WINDOWS["trailing"], 35.0)
 

@@ -6,6 +6,8 @@ unit = nation, area = region, ticket = order, item = part.  Repeated
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import month_start, signed_net, to_local_ntz
@@ -181,6 +183,24 @@ def ticket_costs(spark: SparkSession, sf_dir: str, span: Span | None = None, uni
     return rolled.join(heads, "ticket")
 
 
+def unit_days(spark: SparkSession, sf_dir: str, category: str) -> DataFrame:
+    """Everything that reports need by area, unit and day: amounts, tickets with a sale, those with a category's sale.
+
+    One derivation of the lines; its rows are units x days, whatever the number of tickets.
+    """
+    fact = published(spark, sf_dir, "sales")
+    lines = line_items(spark, sf_dir) if fact is None else fact
+    items = parts(spark, sf_dir).select("part", "price", (F.col("category") == category).alias("hit"))
+    priced = lines.join(items, "part")
+    sale = F.col("state") == "sale"
+    rolled = ticket_rollup(priced, ["ticket"], {"net": F.col("net"), "labor": F.col("labor"), "purchases": purchases_of(priced)},
+                           {"has_sale": sale, "attached": F.col("hit") & sale})
+    # Left, so that a ticket without lines still counts with its order value.
+    return headers(spark, sf_dir).join(rolled, "ticket", "left").groupBy("area", "unit", "day").agg(
+        *[F.sum(c).alias(c) for c in ("net", "labor", "purchases", "order_value")],
+        F.count_if("has_sale").alias("sale_tickets"), F.count_if(F.col("has_sale") & F.col("attached")).alias("attached_tickets"))
+
+
 def invoice_lines(spark: SparkSession, sf_dir: str, span: Span | None = None) -> DataFrame:
     """Purchases at line grain: one invoice line per sales line, dated by the ticket."""
     lines = sales(spark, sf_dir, span).join(parts(spark, sf_dir), "part")
@@ -201,13 +221,15 @@ def copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.join(headers(spark, sf_dir), "ticket")
 
 
-def books(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Book A: net per unit-day.  Book B: A with planted differences.
+def books(spark: SparkSession, sf_dir: str, span: Span | None = None) -> tuple[DataFrame, DataFrame]:
+    """Book A: net per unit-day.  Book B: A with planted differences.  Both of a date range if given.
 
+    Book B may enter a day on the next one, so the tickets of the day before a range are read too.
     By (day number + unit) modulo 60: 0 is not booked; 1 is booked on the next
     day and leaves a zero; 10, 20 and 30 are off by +3, -50 and +75.
     """
-    book_a = ticket_sales(spark, sf_dir).groupBy("unit_id", "unit", "day") \
+    wider = None if span is None else (str(date.fromisoformat(span[0]) - timedelta(days=1)), span[1])
+    book_a = ticket_sales(spark, sf_dir, wider).groupBy("unit_id", "unit", "day") \
         .agg(F.sum("net").alias("net"))
     case = (F.datediff("day", F.lit("1995-01-01").cast("date")) + F.col("unit_id")) % 60
     amount = "decimal(38,4)"
@@ -223,7 +245,8 @@ def books(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     entries = F.when(case == 0, F.slice(booked, 1, 0)).when(case == 1, late).otherwise(booked)
     book_b = book_a.select("unit", F.inline(entries)).groupBy("unit", "day") \
         .agg(F.sum("booked").alias("booked"))
-    return book_a.select("unit", "day", "net"), book_b
+    book_a = book_a.select("unit", "day", "net")
+    return (book_a, book_b) if span is None else (within(book_a, "day", span), within(book_b, "day", span))
 
 
 ERA_SPLIT = "1998-01-01"
@@ -302,9 +325,12 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("local_ts", to_local_ntz("closed_at", "America/New_York"))
 
 
-def publish_mart(spark: SparkSession, sf_dir: str, schema: str, folder: str) -> str:
+def publish_mart(spark: SparkSession, sf_dir: str, schema: str, folder: str, buckets: int | None = None) -> str:
     """Derive the sales facts once and register them; later queries read them.
 
+    With ``buckets`` both are also hashed by ticket, so that rolling lines up to tickets and joining tickets needs
+    no shuffle; without, they are clustered by unit, so that a unit prunes row groups.
+
     ``sales`` has lines, ``tickets`` their sums.  Both are partitioned by month
     and clustered inside, so a date range prunes partitions and a unit prunes
     row groups.  Returns the value for ``spark.siteledger.mart``.
@@ -313,7 +339,7 @@ def publish_mart(spark: SparkSession, sf_dir: str, schema: str, folder: str) ->
     fact = line_items(spark, sf_dir).join(headers(spark, sf_dir), "ticket") \
         .withColumn("month_start", month_start("day"))
     write_fact(fact, f"{folder}/sales", "month_start", ["unit", "day", "ticket", "line"],
-               table=f"{schema}.sales")
+               table=f"{schema}.sales", buckets=buckets, bucket_cols=["ticket"])
     lines = spark.table(f"{schema}.sales").join(parts(spark, sf_dir).select("part", "price"), "part")
     gross = F.col("gross")
     tickets = ticket_rollup(
@@ -323,7 +349,7 @@ def publish_mart(spark: SparkSession, sf_dir: str, schema: str, folder: str) ->
             "sale_gross": F.when(F.col("state") == "sale", gross),
             "labor": F.col("labor"), "purchases": F.col("purchases")})
     write_fact(tickets, f"{folder}/tickets", "month_start", ["unit", "day", "ticket"],
-               table=f"{schema}.tickets")
+               table=f"{schema}.tickets", buckets=buckets, bucket_cols=["ticket"])
     for name in ("sales", "tickets"):
         spark.sql(f"ALTER TABLE {schema}.{name} SET TBLPROPERTIES ('{SOURCE_PROPERTY}' = '{sf_dir.rstrip('/')}')")
     return schema

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import costs, metrics, quality
+from ..operators import costs, growth, metrics, quality, streaks
 from ..operators.conform import resolve_alias
+from ..sources.landing import pin
 from . import analyses as a, bindings as b
 from .analyses import plain
 
+# The bands the metrics must lie in.
 METRIC_BANDS = {"miss_pts": (4.0, 4.6), "longest_streak": (20.0, None),
                 "streak_dominance": (2.5, None), "growth_spread": (0.5, None),
                 "attach_gap": (8.0, None)}
@@ -71,23 +73,31 @@ def t09_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def t10_metric_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    miss = a.a12b_target_miss(spark, sf_dir).select(
-        F.lit("miss_pts").alias("metric"), F.col("miss_vs_target_pts").alias("value"))
+    """All metrics from one table of units and days, written once; each is an aggregate of few rows."""
+    days = pin(b.unit_days(spark, sf_dir, "PROMO"), "unit-days")[0]
+    own_unit = F.col("unit") == a.BRIDGE_UNIT
+    miss = costs.target_miss(days.filter(own_unit), "day", "net", ["labor", "purchases"], a.BRIDGE_WINDOWS["trailing"], 35.0) \
+        .select(F.lit("miss_pts").alias("metric"), F.col("miss_vs_target_pts").alias("value"))
+    weekly = costs.period_totals(days.filter(F.col("net").isNotNull()), "area", "day",
+                                 {"net": "net", "labor": "labor", "purchases": "purchases"}, grain="week")
+    flags = streaks.rolling_flags(weekly, "area", "net", ["purchases", "labor"], a.STREAK_THRESHOLD)
     asia = F.col("area") == "ASIA"
-    longest = a.a08_streaks(spark, sf_dir).agg(
+    longest = streaks.streaks(flags, "area").agg(
         F.max(F.when(asia, F.col("weeks"))).cast("double").alias("own"),
         F.max(F.when(~asia, F.col("weeks"))).cast("double").alias("other"))
     streak = longest.select(F.inline(F.array(
         F.struct(F.lit("longest_streak").alias("metric"), F.col("own").alias("value")),
         F.struct(F.lit("streak_dominance").alias("metric"),
                  F.round(F.col("own") / F.col("other"), 4).alias("value")))))
-    spread = a.a04b_two_period_growth(spark, sf_dir).select(
+    opened = days.groupBy("unit").agg(F.trunc(F.min("day"), "month").alias("open_date"))
+    spread = growth.two_period_growth(
+        days, opened, b.unit_eras(spark, sf_dir), "unit", "day", "order_value", *a.GROWTH_SPANS).select(
         F.lit("growth_spread").alias("metric"),
         F.round(F.col("naive_yoy_pct") - F.col("comp_yoy_pct"), 2).alias("value"))
-    own = F.col("unit") == a.BRIDGE_UNIT
-    attach = a.attach_tickets(spark, sf_dir).filter("has_sale").agg(
-        metrics.pct(F.count_if("attached"), F.count(F.lit(1)), None).alias("everyone"),
-        metrics.pct(F.count_if(F.col("attached") & own), F.count_if(own), None).alias("own"))
+    attach = days.agg(
+        metrics.pct(F.sum("attached_tickets"), F.sum("sale_tickets"), None).alias("everyone"),
+        metrics.pct(F.sum(F.when(own_unit, F.col("attached_tickets"))), F.sum(F.when(own_unit, F.col("sale_tickets"))), None)
+        .alias("own"))
     gap = attach.select(F.lit("attach_gap").alias("metric"),
                         F.round(F.col("everyone") - F.col("own"), 2).alias("value"))
     found = miss.unionByName(streak).unionByName(spread).unionByName(gap)

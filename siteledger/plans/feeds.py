@@ -20,6 +20,7 @@ from .conforming import calendar_text, date_text, label_text
 DAYPARTS = [("breakfast", "07:00", "10:59"), ("lunch", "11:00", "14:59"),
             ("afternoon", "15:00", "16:59"), ("dinner", "17:00", "21:59"),
             ("late_night", "22:00", "01:59")]
+# Roles, and spellings of the units of measure as suppliers write them.
 ROLES = ["Manager", "Line Cook", "Prep Cook", "Server", "Busser"]
 UNITS_OF_MEASURE = ["case", "CASE ", "lb", "LB", " ea", "bag", "GAL", "keg"]
 

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import (backfill_ratio, band, blank_to_null, map_codes, parse_dates, signed_net,
                          title_label, to_local_ntz, weekday_window_flag)
 from ..operators import calendar, cleaning, conform, quality
 from ..operators.costs import with_costs
+from ..operators.declared import Declared, check_all, counted
+from ..operators.drill import Fact, drill_across
 from ..operators.reconcile import two_books
 from .conforming import SERVICE_BANDS
 
@@ -191,6 +193,7 @@ ACCEPTED = {
     ("fact_labor_day", "role"): ["Manager", "Line Cook", "Prep Cook", "Server", "Busser",
                                  "Bartender", "Counter", "Dishwasher"],
 }
+# Columns that must be filled, unique ones, and references (mart, column, parent, its key).
 REQUIRED = [("dim_location", "location_id"), ("dim_location_history", "location_id"),
             ("dim_date", "date_key"), ("dim_menu_item", "menu_item_id"),
             ("dim_menu_item", "item_name"), ("dim_vendor", "vendor_id"),
@@ -255,6 +258,48 @@ def mart_checks(raw: Frames, marts: Frames, boroughs: list[str] | None = None,
     return checks
 
 
+def net_rule(states: tuple[str, ...]) -> Column:
+    """The net amount of a line in one of these states is what its gross and discount say."""
+    due = F.when(F.col("line_state") == "refund", F.col("gross_amount")) \
+        .when(F.col("line_state") == "sale", F.col("gross_amount") - F.col("discount_amount")).otherwise(F.lit(0))
+    return ~F.col("line_state").isin(*states) | (F.col("net_amount") == due)
+
+
+def declared_marts() -> dict[str, Declared]:
+    """The declared checks of each mart."""
+    rules = {f"net rule {' '.join(states)}": net_rule(states) for states in (("sale", "refund"), ("void", "comp"))}
+    return {mart: Declared(
+        keys=[keys],
+        not_null=[c for m, c in REQUIRED if m == mart], unique=[c for m, c in UNIQUE if m == mart],
+        accepted={c: values for (m, c), values in ACCEPTED.items() if m == mart},
+        references={c: (parent, key) for m, c, parent, key in REFERENCES if m == mart},
+        true=rules if mart == "fact_ticket_line" else {}) for mart, keys in MART_KEYS.items()}
+
+
+def mart_check_counts(raw: Frames, marts: Frames, max_variance_days: int = 45) -> DataFrame:
+    """(check, violations) for every declared check: one scan of each mart for all that one table can tell.
+
+    The checks that compare several marts, or a mart with the feeds, follow, each as one count.  ``marts`` should be
+    written tables.
+    """
+    sold, day = marts["fact_ticket_line"], ["location_id", "business_date"]
+    net = sold.groupBy(*day).agg(F.sum("net_amount").alias("net"))
+    totals = drill_across([
+        Fact(sold, "business_date", {"net": "net_amount"}), Fact(marts["fact_invoice_line"], "invoice_date", {"purchases": "ext_cost"}),
+        Fact(marts["fact_labor_day"], "business_date", {"labor": "wages"})], ["location_id"])
+    across = {
+        "not_null staged business_date": quality.not_null(typed_ticket_lines(raw), "business_date"),
+        "alias map total": quality.map_total(raw["pos_ticket_lines"], "item_name", raw["ref_item_aliases"]),
+        "books tie": quality.bounded_variance(
+            two_books(net, marts["fact_gl_day"], day, "net", "gl_net_sales"), max_variance_days),
+        "cost ratio plausible": quality.ratio_in_band(
+            totals, ["location_id", "month_start"], "net", ["purchases", "labor"], 35, 90),
+        "codes conserved": quality.conservation(
+            raw["pos_ticket_lines"], _conformed(raw, raw["pos_ticket_lines"])),
+        "eras apart": conform.overlapping_eras(marts["dim_location_history"])}
+    return check_all(marts, declared_marts()).unionByName(counted(across))
+
+
 def _by_month(rows: DataFrame, day: str, value: str, out: str) -> DataFrame:
     return rows.groupBy("location_id", F.trunc(day, "month").alias("month_start")) \
         .agg(F.sum(value).alias(out))

@@ -154,6 +154,33 @@ LOADING_SQL = {
     "s5_verify": """
         SELECT * FROM (VALUES ('suppliers', 'contents differ'), ('gone', 'table missing'),
             ('extra', 'not in manifest')) t("table", problem)""",
+    "s3_publish_table": statement("""
+        SELECT r_name AS area, count(*) AS tickets, CAST(sum(order_value) AS DOUBLE) AS value
+        FROM head GROUP BY ALL""", "head"),
+    "s3_replace_all": statement("""
+        SELECT 'tickets' AS "table", count(*) AS n_rows, true AS second_refused FROM head
+        UNION ALL SELECT 'lines', count(*), EXISTS (
+            SELECT 1 FROM kept WHERE l_orderkey NOT IN (SELECT o_orderkey FROM head WHERE r_name = 'ASIA')) FROM kept""",
+        "head", "kept"),
+    "s5_partitions": statement("""
+        SELECT DISTINCT r_name AS area, CAST(date_trunc('month', day) AS DATE) AS month_start, 'contents differ' AS problem
+        FROM head WHERE day = (SELECT max(day) FROM head)""", "head"),
+    "s6_clustered": statement("""
+        WITH l AS (SELECT l_partkey, CAST(l_shipdate AS DATE) AS d,
+            CASE WHEN state = 'refund' THEN -pieces ELSE pieces END AS q FROM typed)
+        SELECT 'all' AS access, count(*) AS n_lines, CAST(sum(q) AS BIGINT) AS qty FROM l
+        UNION ALL SELECT 'date', count(*), CAST(sum(q) AS BIGINT) FROM l WHERE year(d) = 1997 AND month(d) = 3
+        UNION ALL SELECT 'item', count(*), CAST(sum(q) AS BIGINT) FROM l WHERE l_partkey = 17""", "typed"),
+    "s6_statistics": statement("""
+        SELECT 'unit' AS "column", 0::BIGINT AS nulls, NULL::VARCHAR AS least, NULL::VARCHAR AS greatest,
+            false AS histogram, true AS near
+        UNION ALL SELECT 'day', count(*) - count(day), CAST(min(day) AS VARCHAR), CAST(max(day) AS VARCHAR), true, true FROM head
+        UNION ALL SELECT 'ticket', count(*) - count(o_orderkey), CAST(min(o_orderkey) AS VARCHAR),
+            CAST(max(o_orderkey) AS VARCHAR), true, true FROM head
+        UNION ALL SELECT 'order_value', count(*) - count(order_value), CAST(min(order_value) AS VARCHAR),
+            CAST(max(order_value) AS VARCHAR), true, true FROM head
+        UNION ALL SELECT 'late_value', count(*) FILTER (year(day) < 2000), CAST(min(order_value) FILTER (year(day) >= 2000) AS VARCHAR),
+            CAST(max(order_value) FILTER (year(day) >= 2000) AS VARCHAR), true, true FROM head""", "head"),
     "s6_write_fact": statement("""
         SELECT CAST(date_trunc('month', day) AS DATE) AS month_start, count(*) AS tickets,
             CAST(sum(order_value) AS DOUBLE) AS value

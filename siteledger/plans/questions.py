@@ -108,12 +108,12 @@ def q17_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q18_differing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    books = both_books(spark, sf_dir, "inner").filter(in_range("day", YEAR_98))
+    books = both_books(spark, sf_dir, "inner", YEAR_98)
     return reconcile.tied_days(books, "unit").select("unit", "variance_days")
 
 
 def q19_ratio_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One pass over the tickets;"""
+    """One pass over the tickets of the range, summed by unit."""
     rows = b.ticket_costs(spark, sf_dir, TWELVE_MONTHS)
     sums = rows.groupBy("unit").agg(*[F.sum(c).alias(c) for c in ("net", "labor", "purchases")])
     return sums.select(
