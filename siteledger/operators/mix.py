@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import pct, ratio
+from ..sources.landing import pin
 from .conform import in_era
 from .metrics import sum_where
 from .quantiles import group_percentile
@@ -25,10 +26,12 @@ def quadrants(sold: DataFrame, group: Sequence[str], item: str, units: str, pric
     """Place items against their group's median units and median margin.
 
     ``sold`` has one row per group and item.  An item without a cost takes its
-    group's median cost ratio and is flagged.  At the median counts as high.
+    group's median cost ratio and is flagged.  At the median counts as high.  ``sold`` is read
+    several times, so it should be written.  Runs a job.
     """
     base = sold.withColumn("_ratio", ratio(unit_cost, price))
-    ratios = group_percentile(base, group, ["_ratio", units]) \
+    # One row for each group, which every step below reads: written once.
+    ratios = pin(group_percentile(base, group, ["_ratio", units]), "group-medians")[0] \
         .withColumnsRenamed({"_ratio": "_med_ratio", units: "_med_units"})
     list_price = F.col(price).cast("double")
     cost = F.coalesce(F.col(unit_cost).cast("double"), F.col("_med_ratio") * list_price)

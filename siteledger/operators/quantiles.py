@@ -48,7 +48,9 @@ def group_percentile(df: DataFrame, keys: Sequence[str], measures: Sequence[str]
         .groupBy(*group, "total", slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
     last = F.sum("n").over(Window.partitionBy(*group, "total").orderBy(F.col("slot").asc_nulls_first()))
     spot = (F.col("total") - 1) * F.lit(float(p))
-    near = hist.select(*group, "total", "slot", "n", last.alias("last"), spot.alias("spot")) \
+    # Dealt by the keys alone, so that the window and the last aggregate share one shuffle of the few rows left.
+    dealt = hist.repartition(*keys) if keys else hist
+    near = dealt.select(*group, "total", "slot", "n", last.alias("last"), spot.alias("spot")) \
         .withColumn("first", F.col("last") - F.col("n"))
     low, high = F.floor("spot"), F.ceil("spot")
 
