@@ -12,15 +12,16 @@ from .bloom import listed_or_not
 from .common import components, keep
 from .textnum import GOLDEN, LOWER, U64, chunks, column_bytes, distinct, mix, sequence_keys, shingles, \
     times, word_hashes, words
+from .workers import free
 
 # 40 bands of 6: a pair at similarity 0.8 shares no band with probability 5e-6, one at 0.5
 # shares one with probability 0.47, one at 0.3 with 0.03.
 BANDS, ROWS_PER_BAND = 40, 6
 UNSET = U64(0xFFFFFFFFFFFFFFFF)
 # Members of a bucket that are compared in one group, and the share of equal slots below which a pair
-# can't reach the similarity: 0.09 under it, over four standard deviations of the estimate at 0.8.
+# can't reach the similarity: 0.13 under it, five standard deviations of the estimate at 0.8.
 BLOCK = 1024
-MARGIN = 0.09
+MARGIN = 0.13
 
 
 def superminhash(values: np.ndarray, row: np.ndarray, n_rows: int, size: int, seed: int = 1) -> np.ndarray:
@@ -82,6 +83,7 @@ def _sets(column: pa.Array, width: int) -> Iterator[tuple]:
 
 def _signatures(width: int, slots: int):
     def run(batches):
+        free()
         for batch in batches:
             keys, counts, made = [], [np.zeros(0, np.int64)], []
             for n, key, value, of in _sets(batch.column("text"), width):

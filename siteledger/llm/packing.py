@@ -15,6 +15,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
+from .workers import held
+
 END = 1
 CAPACITY = 2048
 # Attention work of a piece of n tokens: LINEAR * n for projections and feed-forward, QUADRATIC * n^2
@@ -80,14 +82,9 @@ class Encoder:
                     yield b"".join(map(self.known.__getitem__, words))
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(vocabulary: str) -> Encoder:
-    """The worker's encoder for a vocabulary file, kept over tasks."""
-    if vocabulary not in _encoders:
-        _encoders[vocabulary] = Encoder(vocabulary)
-    return _encoders[vocabulary]
+    """The worker's encoder for a vocabulary file, kept over tasks until another operator frees it."""
+    return held(("packing", vocabulary), lambda: Encoder(vocabulary))
 
 
 def cost(tokens: int) -> float:
