@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .language_id import folds
 from .textnum import LOWER, U64, chunks, column_bytes, mix, word_hashes, words
+from .workers import free
 
 # Bounds of the training sample: documents of each class, bytes of one document.
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 900, 1500, 16_000
@@ -19,7 +20,7 @@ WINDOW = 64
 STEPS = 100
 # Features of so few words in the training sample get no weight.
 RARE = 4
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 # ASCII characters that are no letters part words.
 APART = np.zeros(256, bool)
 APART[:128] = True
@@ -233,18 +234,21 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """Model from a bounded sample of labelled rows, the first of each class in a hash order.
 
     Null ids and labels are not used; an id labelled more than once is toxic if one label says so.
-    Texts over ``most_bytes`` and null texts are not used, equal texts once.  The sample's ids, at most
-    ``most_toxic + most_clean``, are broadcast; the classes' shares are counted over all labels.
+    Texts over ``most_bytes`` and null texts are not used, nor are labels of ids without any other; of an id with several
+    texts one is used, equal texts once.  The sample's ids, at most ``most_toxic + most_clean``, are
+    broadcast; the classes' shares are counted over all labels.
     """
     marked = labels.where(F.col(doc_id).isNotNull() & F.col(toxic).isNotNull()) \
         .groupBy(F.col(doc_id).alias("_id")).agg((F.max(toxic) > 0).alias("_toxic"))
     n_toxic, n_all = marked.agg(F.count_if("_toxic"), F.count("*")).first()
     order = F.xxhash64("_id")
+    given = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).where(F.octet_length("text") <= most_bytes)
+    marked = marked.join(given.select("_id").distinct(), "_id", "left_semi")
     picked = marked.where("_toxic").orderBy(order, "_id").limit(most_toxic) \
         .unionAll(marked.where("not _toxic").orderBy(order, "_id").limit(most_clean))
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")) \
-        .where(F.octet_length("text") <= most_bytes).join(F.broadcast(picked), "_id") \
-        .groupBy("text").agg(F.min("_id").alias("_id"), F.max("_toxic").alias("_toxic")).collect()
+    rows = given.join(F.broadcast(picked), "_id") \
+        .groupBy("_id").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("one"), F.max("_toxic").alias("_toxic")) \
+        .select("_id", "one.text", "_toxic").groupBy("text").agg(F.min("_id").alias("_id"), F.max("_toxic").alias("_toxic")).collect()
     rows.sort(key=lambda r: (str(r["_id"]), r["text"]))
     return train([r["text"] for r in rows], [r["_toxic"] for r in rows], n_toxic / max(1, n_all))
 
@@ -279,6 +283,7 @@ def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: st
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("marginal", pa.float64())]))
 
     def run(batches):
+        free()
         known = sent.value
         for batch in batches:
             data, offsets = column_bytes(batch.column("text"))
@@ -308,6 +313,7 @@ def drop_toxic(docs: DataFrame, model: Model | None, text: str = "text", least:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        free()
         known = sent.value
         for batch in batches:
             if known is not None:
