@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .textnum import chunks, column_bytes
 
-# Bounds of the model: bytes of training text for each language, and languages.
-TRAIN_BYTES = 24_000
+# Bounds of the model: bytes of training text for each language and for all together, bytes of one text, documents of
+# a language that are looked at, and languages.
+TRAIN_BYTES, ALL_BYTES, TEXT_BYTES = 24_000, 384_000, 6_000
 SAMPLE_DOCS = 400
-MOST_LANGUAGES = 64
+MOST_LANGUAGES = 256
 # Texts are parsed in segments of this many symbols, all of them; a segment's end closes a phrase.
 SEGMENT = 1024
 SEGMENTS_AT_ONCE = 2048
@@ -139,33 +140,50 @@ def folds(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
 
 
-def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "doc_id",
-        train_bytes: int = TRAIN_BYTES, sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Model from a bounded sample: for each language the first ``sample_docs`` rows in a hash order,
-    of these whole texts up to ``train_bytes`` together.
+def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "doc_id", train_bytes: int = TRAIN_BYTES,
+        sample_docs: int = SAMPLE_DOCS, most_languages: int = MOST_LANGUAGES) -> Model:
+    """Model from a bounded sample: of each language the first texts in a hash order, up to ``train_bytes`` together.
 
-    Rows with null text or language, without a letter, or longer than ``train_bytes`` are not
-    used; a language without any other is not learnt.  More than MOST_LANGUAGES languages are an error.
+    Of a text longer than TEXT_BYTES a stretch of about that size is used, from a place that its hash sets, so a language
+    of long texts only is learnt too.  The ``most_languages`` most frequent languages are learnt (of equally frequent
+    ones the first in order); more than ALL_BYTES / ``train_bytes`` of them share ALL_BYTES evenly.  Rows with null
+    text or language or without a letter are not used, repeated rows count once.  Runs jobs.
+
+    Languages are counted first, so that a column of any number of values is never gathered.  A language's share of
+    hashes is then set from its count: about four times ``sample_docs`` rows of it are ranked, however many there are.
     """
     usable = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(text).rlike("\\p{L}")) \
-        .select(F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    # Ranked on hashes, so that a text is moved only for rows of the sample.
-    keys = usable.select("lang", F.xxhash64("doc_id", "text").alias("h"),
-                         F.octet_length("text").alias("size")) \
-        .where(F.col("size") <= train_bytes).distinct() \
-        .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h"))) \
+        .select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(doc_id, text).alias("h"))
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()
+    if not counts:
+        return Model({})
+    spark = labelled.sparkSession
+    learnt = F.broadcast(spark.createDataFrame([(r["lang"], r["n"]) for r in counts], "lang string, n bigint"))
+    share = min(train_bytes, max(1, ALL_BYTES // len(counts)))
+    place = F.shiftrightunsigned("h", 11) / float(1 << 53)
+    letters = F.length("text")
+    begin = F.when(letters > TEXT_BYTES, F.pmod("h", letters - TEXT_BYTES + 1)).otherwise(F.lit(0)).cast("int")
+    picked = usable.join(learnt, "lang").where(place * F.col("n") <= 4 * sample_docs) \
+        .select("lang", "h", F.substring("text", begin + 1, F.lit(TEXT_BYTES)).alias("text")).distinct() \
+        .withColumn("size", F.octet_length("text")) \
+        .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))) \
         .where(F.col("rank") <= sample_docs) \
-        .withColumn("total", F.sum("size").over(Window.partitionBy("lang").orderBy("rank"))) \
-        .where(F.col("total") <= train_bytes)
-    picked = usable.withColumn("h", F.xxhash64("doc_id", "text")) \
-        .join(F.broadcast(keys.select("lang", "h")), ["lang", "h"]) \
-        .dropDuplicates(["lang", "h"]).select("lang", "h", "text")
+        .withColumn("before", F.sum("size").over(Window.partitionBy("lang").orderBy("rank")) - F.col("size")) \
+        .where(F.col("before") < share).select("lang", "rank", "text")
     texts: dict[str, list[str]] = {}
-    for row in sorted(picked.collect(), key=lambda r: (r["lang"], r["h"])):
+    for row in sorted(picked.collect(), key=lambda r: (r["lang"], r["rank"])):
         texts.setdefault(row["lang"], []).append(row["text"])
-    if len(texts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    return Model(texts)
+    return Model({name: _shortened(of, share) for name, of in texts.items()})
+
+
+def _shortened(texts: list[str], most: int) -> list[str]:
+    """Texts up to ``most`` bytes together; the last one is cut at a letter's end."""
+    out, left = [], most
+    for text in texts:
+        raw = text.encode()[:left]
+        out.append(raw.decode(errors="ignore"))
+        left -= len(raw)
+    return out
 
 
 def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
