@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import components, keep, roots_of
 
-# 16 orders by 60 random hyperplanes each; every vector meets its 96 successors in each.
+# A round is 16 orders by 60 random hyperplanes each; every vector meets its 96 successors in each.
 PASSES, BITS, WINDOW = 16, 60, 96
 BLOCK = 2048
 # Members of a component that are compared in one group when its links are counted.
@@ -40,8 +40,8 @@ def _packed():
     return packed
 
 
-def _codes(passes: int, bits: int):
-    """Per vector one sort key for each pass: the signs of ``bits`` random projections, concatenated."""
+def _codes(first: int, passes: int, bits: int):
+    """Per vector one sort key for each pass from ``first`` on: the signs of ``bits`` random projections, concatenated."""
     @F.arrow_udf("array<bigint>")
     def codes(vector: pa.Array) -> pa.Array:
         raw = vector.to_pylist()
@@ -51,7 +51,7 @@ def _codes(passes: int, bits: int):
             at = np.flatnonzero(sizes == size)
             unit = _units([raw[i] for i in at])
             for k in range(passes):
-                planes = np.random.default_rng([k, int(size)]).standard_normal((size, bits))
+                planes = np.random.default_rng([first + k, int(size)]).standard_normal((size, bits))
                 out[at, k] = (unit @ planes > 0) @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int64))
         return pa.array(list(out), pa.list_(pa.int64()))
     return codes
@@ -133,6 +133,36 @@ def _placed(orders: DataFrame, block: int) -> DataFrame:
         "series", "id", F.floor(at / block).alias("block"), (at % block).alias("place"))
 
 
+def _round(nodes: DataFrame, number: int, least: float, passes: int, bits: int, window: int, block: int) -> DataFrame:
+    """Written links (a, b) that one round of passes finds."""
+    coded = nodes.select("id", F.xxhash64("label", F.length("v")).alias("kind"),
+                         _codes(number * passes, passes, bits)("v").alias("codes"))
+    orders = coded.select("id", F.posexplode("codes").alias("pass", "code"), "kind") \
+        .select("id", "code", F.xxhash64("pass", "kind").alias("series"))
+    placed = _placed(orders, block)
+    tail = placed.where((F.col("place") < window) & (F.col("block") > 0)) \
+        .select("series", "id", (F.col("block") - 1).alias("block"), (F.col("place") + block).alias("place"))
+    carried = placed.unionAll(tail).join(nodes.select("id", "v"), "id")
+    return keep(carried.repartition("block").sortWithinPartitions("block", "place")
+                .mapInArrow(_groups("block", _neighbours(least, window, block)), "a bigint, b bigint").distinct(), "links")
+
+
+def _united(nodes: DataFrame, least: float, passes: int, bits: int, window: int, block: int) -> DataFrame:
+    """(id, root) of all nodes with links, from rounds of passes until a round unites nothing that was apart."""
+    roots, number = components(_round(nodes, 0, least, passes, bits, window, block)), 0
+    while True:
+        number += 1
+        links = _round(nodes, number, least, passes, bits, window, block)
+        named = [roots.withColumnsRenamed({"node": end, "root": f"root_{end}"}) for end in ("a", "b")]
+        across = links.join(named[0], "a", "left").join(named[1], "b", "left").select(
+            F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).where("a != b").distinct()
+        across = keep(across, "new-links")
+        if across.isEmpty():
+            return roots.select(F.col("node").alias("id"), "root")
+        # Old stars and new links between their roots: one graph, whose nodes were united already for the most part.
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(across))
+
+
 def link(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label",
          least: float = 0.93, passes: int = PASSES, bits: int = BITS, window: int = WINDOW,
          block: int = BLOCK) -> DataFrame:
@@ -145,8 +175,9 @@ def link(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
     2. In each pass nodes are sorted by label and the concatenated signs of random projections, over all tasks.
        Blocks of the order, with the first ``window`` rows of the next block, compare each row with
        its successors in the window; a block gives out only links that unite rows.
-    3. Links of all passes are united.  A pair found in no pass and joined by no chain is missed;
-       passes and window set how rarely.
+    3. Links of a round of passes are united, and rounds go on with other projections until one unites nothing that was
+       apart.  The number of rounds follows the data: where a round finds a pair with probability q, it
+       ends with m pairs still apart only with probability (1 - q)**m.
     4. The window bounds what a pass compares, not what is counted: in each component all pairs are
        compared in groups of SIDE by SIDE, which count links and give out no pairs.
 
@@ -163,16 +194,7 @@ def link(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
     # The length is part of what must be equal, like the label.
     nodes = keep(usable.groupBy("label", "v").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
                  .select(F.monotonically_increasing_id().alias("id"), "label", "v", "vec_id", "copies"), "nodes")
-    coded = nodes.select("id", F.xxhash64("label", F.length("v")).alias("kind"), _codes(passes, bits)("v").alias("codes"))
-    orders = coded.select("id", F.posexplode("codes").alias("pass", "code"), "kind") \
-        .select("id", "code", F.xxhash64("pass", "kind").alias("series"))
-    placed = _placed(orders, block)
-    tail = placed.where((F.col("place") < window) & (F.col("block") > 0)) \
-        .select("series", "id", (F.col("block") - 1).alias("block"), (F.col("place") + block).alias("place"))
-    carried = placed.unionAll(tail).join(nodes.select("id", "v"), "id")
-    links = carried.repartition("block").sortWithinPartitions("block", "place") \
-        .mapInArrow(_groups("block", _neighbours(least, window, block)), "a bigint, b bigint").distinct()
-    roots = components(keep(links, "links")).select(F.col("node").alias("id"), "root")
+    roots = _united(nodes, least, passes, bits, window, block)
     groups = keep(roots.unionAll(roots.select("root", "root").distinct()), "roots")
     sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / SIDE).cast("int").alias("sides"))
     members = groups.join(sizes, "root").join(nodes.select("id", "v", "copies"), "id") \
