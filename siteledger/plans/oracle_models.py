@@ -23,7 +23,8 @@ PIECES.update({
                 CAST(p_retailprice AS DECIMAL(9,2)) AS price,
                 CAST(CAST(l_quantity AS INTEGER) * CAST(p_retailprice AS DECIMAL(12,2))
                      * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(9,2)) AS off,
-                l_shipdate + INTERVAL 1 HOUR * (l_partkey % 24) + INTERVAL 1 MINUTE * (l_suppkey % 60) AS t,
+                l_shipdate + INTERVAL 1 HOUR * (l_partkey % 24) + INTERVAL 1 MINUTE * (l_suppkey % 60)
+                    + INTERVAL 1 SECOND * (l_orderkey % 60) + INTERVAL 1 MICROSECOND * (l_partkey * 37 % 1000000) AS t,
                 CASE WHEN l_quantity <= 5 AND l_returnflag = 'R' THEN 'refund'
                      WHEN l_quantity <= 5 AND l_returnflag = 'A' THEN 'void'
                      WHEN l_quantity <= 10 AND l_returnflag = 'A' THEN 'comp' ELSE 'sale' END AS st
