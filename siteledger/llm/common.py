@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from pathlib import Path
 
@@ -17,12 +18,19 @@ from ..sources.landing import pin
 BATCH_ROWS, BATCH_SETTING = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+# Workers live on beside the JVM: what they free should go back to the system, not into pools of their own.
+WORKER_SETTINGS = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_TRIM_THRESHOLD_": "1048576",
+                   "MALLOC_MMAP_THRESHOLD_": "1048576", "OPENBLAS_NUM_THREADS": "1"}
+
+
 def prepare(spark: SparkSession) -> None:
     """Bound Arrow batches, and let Python workers find this package where it lies on a shared path only."""
     if spark.conf.get(BATCH_SETTING, "10000") == "10000":
         spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
+    for name, value in WORKER_SETTINGS.items():
+        env.setdefault(name, value)
     known = env.get("PYTHONPATH", "").split(os.pathsep)
     if root not in known:
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
@@ -38,6 +46,21 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return pin(df, label)[0]
 
 
+def release(*frames: DataFrame) -> None:
+    """Delete written intermediates that no frame to come reads, and let Spark drop the shuffles behind them.
+
+    For steps of a long operator: what is given must come from ``keep`` as it is, and all that reads it must be written.
+    """
+    for frame in frames:
+        context = frame.sparkSession.sparkContext
+        for folder in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    # Shuffle files go when the driver's JVM finds that nothing refers to them any more.
+    gc.collect()
+    context._jvm.System.gc()
+
+
 def roots_of(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Union-find over edges given as two arrays: each node with the smallest node of its set."""
     nodes, index = np.unique(np.concatenate([first, second]), return_inverse=True)

@@ -63,19 +63,25 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated passages as word ranges, with the document and range that stay."""
     docs = table(spark, sf_dir, "documents")
     found = substring_dedup.repeats(docs)
-    names = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("th")).distinct()
+    names = docs.select("doc_id", substring_dedup.names(docs)[0].alias("th")).distinct()
     return found.join(names, "th").join(names.select(F.col("doc_id").alias("other_id"), F.col("th").alias("other_th")), "other_th") \
         .select("doc_id", "start", "end", "other_id", "other_start", "other_end")
 
 
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list holds the pages found on sites known for spam."""
+    """The list holds the pages found on sites known for spam, spelled otherwise, and as many others as there are pages.
+
+    So most entries are of no page, and a page may only pass the filter by its canonical form.
+    """
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    host, _ = url_filters.parts(F.col("url"))
+    host, path = url_filters.parts(F.col("url"))
     bad = F.lit(False)
     for site in LISTED_SITES:
         bad = bad | F.concat(F.lit("."), host).contains(f".{site}.")
-    return url_filters.judge(pages, URL_RULES, pages.where(bad)).select(
+    front = F.when(host.rlike(r"^(www|m)\."), F.upper(host)).otherwise(F.concat(F.lit("www."), F.upper(host)))
+    listed = pages.where(bad).select(F.concat(F.lit("HTTP://"), front, path, F.lit("?from=list")).alias("url")) \
+        .unionAll(pages.select(F.concat(F.lit("https://elsewhere-"), host, path).alias("url")))
+    return url_filters.judge(pages, URL_RULES, listed).select(
         "page_id", "host", "path", "rule", "verdict", "listed")
 
 
