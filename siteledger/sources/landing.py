@@ -13,14 +13,21 @@ from .raw import read_raw
 from .versions import Audit, audited, discard, swap_folders
 
 
-def land(df: DataFrame, path: str) -> int:
+# Row groups of intermediates: a writer holds one in memory for each open file.
+PINNED_GROUP = 32 << 20
+
+
+def land(df: DataFrame, path: str, row_group_bytes: int | None = None) -> int:
     """Overwrite ``path`` with the frame and return its row count.
 
     The count is observed by the same job that writes, so it costs no second
     scan; running it again gives the same table.
     """
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+    if row_group_bytes is not None:
+        writer = writer.option("parquet.block.size", str(row_group_bytes))
+    writer.parquet(path)
     return int(seen.get["n"])
 
 
@@ -32,7 +39,7 @@ def pin(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    n_rows = land(df, path)
+    n_rows = land(df, path, PINNED_GROUP)
     return spark.read.schema(df.schema).parquet(path), n_rows
 
 
