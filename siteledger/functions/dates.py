@@ -16,6 +16,21 @@ DATE_FORMATS = (
 )
 
 
+def _iso_text(text: Column, fmt: str) -> Column | None:
+    """The text as a cast to date reads it, for the formats of ``DATE_FORMATS``: a cast takes a tenth of a formatter's time.
+
+    The ``T`` ends the day, so that a line break behind it is no date, as for a formatter.
+    """
+    if fmt == "yyyy-MM-dd":
+        return F.concat(text, F.lit("T"))
+    if fmt == "yyyy/MM/dd":
+        return F.concat(F.translate(text, "/", "-"), F.lit("T"))
+    if fmt == "M/d/yyyy":
+        month_day = F.substring(text, F.lit(1), F.length(text) - F.lit(5))
+        return F.translate(F.concat(F.right(text, F.lit(4)), F.lit("/"), month_day, F.lit("T")), "/", "-")
+    return None
+
+
 def parse_dates(value: ColumnOrName, formats: Sequence[tuple[str, str]] = DATE_FORMATS,
                 strict: bool = True) -> Column:
     """Parse text with the first format whose pattern matches; no match gives NULL.
@@ -24,11 +39,14 @@ def parse_dates(value: ColumnOrName, formats: Sequence[tuple[str, str]] = DATE_F
     when ``strict``, else becomes NULL.
     """
     text = as_col(value)
-    to_date = F.to_date if strict else F.try_to_date
     result = None
     for pattern, fmt in formats:
         hit = text.rlike(pattern)
-        parsed = to_date(text, fmt)
+        iso = _iso_text(text, fmt) if (pattern, fmt) in DATE_FORMATS else None
+        if iso is None:
+            parsed = F.to_date(text, fmt) if strict else F.try_to_date(text, fmt)
+        else:
+            parsed = iso.cast("date") if strict else iso.try_cast("date")
         result = F.when(hit, parsed) if result is None else result.when(hit, parsed)
     if result is None:
         raise ValueError("parse_dates needs at least one format")

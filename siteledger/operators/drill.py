@@ -66,6 +66,8 @@ def drill_across(facts: Sequence[Fact], keys: Sequence[str], grain: str = "month
     """
     measures = [name for fact in facts for name in fact.measures]
     start = f"{grain}_start"
-    totals = stack(facts, keys).filter(F.col("day").isNotNull()) \
-        .groupBy(*keys, F.date_trunc(grain, "day").cast("date").alias(start)).agg(*[F.sum(m).alias(m) for m in measures])
+    # Rows without a date go as a group: a filter on the day would be pushed below joins and ranks, where what makes the day
+    # from text is worked out several times for every row.
+    totals = stack(facts, keys).groupBy(*keys, (F.col("day") if grain == "day" else F.trunc("day", grain)).alias(start)).agg(
+        *[F.sum(m).alias(m) for m in measures], F.count("day").alias("_dated")).filter("_dated > 0").drop("_dated")
     return fill_periods(totals, keys, measures, grain) if dense else totals.fillna(0, measures)

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
+from siteledger.functions import parse_dates
 from siteledger.operators import calendar, cleaning, conform, quality
+from siteledger.operators.drill import Fact, drill_across
 
 DAY = dt.date
 
@@ -197,3 +199,25 @@ def test_typed_calendar_blanks(rows):
     row = calendar.typed_calendar(raw).first()
     assert (row.date_key, row.holiday_name, row.holiday_type, row.is_school_break) == \
         (DAY(2025, 1, 2), None, None, True)
+
+
+def test_rows_without_a_date_need_no_filter_below_the_facts(rows, capsys):
+    fact = rows("k string, day string, v int", ("a", "2020-01-06", 1), ("a", None, 5), ("b", None, 7)).repartition(2)
+    dated = fact.withColumn("day", parse_dates("day"))
+    for grain in ("day", "week", "month", "quarter"):
+        found = drill_across([Fact(dated, "day", {"v": "v"})], ["k"], grain)
+        assert [(r["k"], r["v"]) for r in found.collect()] == [("a", 1)]
+        found.explain()
+        assert "isnotnull(CASE" not in capsys.readouterr().out
+
+
+def test_dates_are_parsed_without_a_formatter(rows, capsys):
+    texts = ["2020-02-29", "2/9/2020", "12/31/1999", "2020/03/01", "2021-02-29", "13/1/2020", "2020-1-2", "2020-01-01\n",
+             "2020/01/01\n", "1/2/2020\n", "", None]
+    days = rows("t string", *[(t,) for t in texts]).coalesce(1).select(parse_dates("t", strict=False).cast("string").alias("d"))
+    assert [r["d"] for r in days.collect()] == ["2020-02-29", "2020-02-09", "1999-12-31", "2020-03-01", *[None] * 8]
+    days.explain()
+    assert "gettimestamp" not in capsys.readouterr().out
+    for bad in ("2021-02-29", "2020-01-01\n", "1/2/2020\n"):
+        with pytest.raises(Exception):  # noqa: B017
+            rows("t string", (bad,)).select(parse_dates("t")).collect()
