@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..sources.landing import pin
+from .conform import heavy_values
 from .positions import positions
 
 
@@ -44,6 +46,13 @@ def _newest_first(df: DataFrame, keys: Sequence[str], newest: Sequence[str],
     return [F.col(c).desc_nulls_last() for c in (*newest, *tie_break)]
 
 
+def _numbers_first(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The keys in an order that sorts fast: the first one's leading bytes decide most comparisons, and numbers differ there."""
+    kinds = dict(df.dtypes)
+    order = ("bigint", "int", "smallint", "tinyint", "date")
+    return sorted(keys, key=lambda c: order.index(kinds[c]) if kinds.get(c) in order else len(order))
+
+
 def keep_latest(df: DataFrame, keys: Sequence[str], newest: Sequence[str],
                 tie_break: Sequence[str] | None = None) -> DataFrame:
     """One row per business key, the newest export.
@@ -54,7 +63,7 @@ def keep_latest(df: DataFrame, keys: Sequence[str], newest: Sequence[str],
     the shuffle, so a key with very many copies costs one row per task.
     """
     order = _newest_first(df, keys, newest, tie_break)
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy(*_numbers_first(df, keys)).orderBy(*order))
     return df.withColumn("_rank", rank).filter("_rank <= 1").drop("_rank")
 
 
@@ -66,14 +75,25 @@ def rank_exports(df: DataFrame, keys: Sequence[str], newest: Sequence[str],
     newest row uses ``keep_latest``; totals over the copies use
     ``copies_and_latest``.
 
-    Ranks come from one sort spread over all tasks, whatever the size of a key (runs a
-    job).  Copies equal in every column are told apart by their place in the input, so
-    they do not have to share a task either.
+    The rows are written once (runs jobs); a sketch and a count name the keys that hold more than a hundredth of them.  Their
+    ranks come from one sort spread over all tasks, whatever the size of a key, those of all others from a window.
+    Copies equal in every column are told apart by their place in the input, so they do not have to share a
+    task either.
     """
-    order = _newest_first(df, keys, newest, tie_break)
-    placed = df.withColumn("_input_place", F.monotonically_increasing_id())
-    return positions(placed, [*order, F.col("_input_place")], keys, out) \
-        .drop("_input_place").withColumn(out, F.col(out).cast("int"))
+    order = [*_newest_first(df, keys, newest, tie_break), F.col("_input_place")]
+    hashed = F.xxhash64(*keys)
+    placed, n_rows = pin(df.withColumn("_input_place", F.monotonically_increasing_id()), "exports")
+    hashes = placed.select(hashed.alias("_key"))
+    found = heavy_values(hashes, "_key")
+    heavy = [r["_key"] for r in hashes.filter(F.col("_key").isin(found)).groupBy("_key").count()
+             .filter(F.col("count") * 100 > n_rows).collect()] if found else []
+    others = placed.filter(~hashed.isin(heavy)) if heavy else placed
+    rank = F.row_number().over(Window.partitionBy(*_numbers_first(df, keys)).orderBy(*order))
+    ranked = others.withColumn(out, rank)
+    if heavy:
+        ranked = ranked.unionByName(positions(placed.filter(hashed.isin(heavy)), order, keys, out)
+                                    .withColumn(out, F.col(out).cast("int")))
+    return ranked.drop("_input_place")
 
 
 def copies_and_latest(df: DataFrame, keys: Sequence[str], newest: Sequence[str],

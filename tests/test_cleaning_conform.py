@@ -201,6 +201,24 @@ def test_typed_calendar_blanks(rows):
         (DAY(2025, 1, 2), None, None, True)
 
 
+def test_copies_are_sorted_by_a_number_before_a_text(rows, capsys):
+    df = rows("loc string, line int, closed string, item string", *EXPORTS).repartition(2)
+    cleaning.keep_latest(df, ["loc", "line"], ["closed"]).explain()
+    plan = capsys.readouterr().out
+    assert "Sort [line#" in plan and "Sort [loc#" not in plan
+
+
+def test_exports_are_made_once_and_cold_keys_need_no_overall_sort(rows, capsys):
+    df = rows("loc int, closed int", *[(k, i) for k in range(300) for i in range(2)]).repartition(4)
+    ranked = cleaning.rank_exports(df, ["loc"], ["closed"])
+    assert sorted((r["loc"], r["closed"], r["export_seq"]) for r in ranked.collect()) == \
+        [(k, i, 2 - i) for k in range(300) for i in range(2)]
+    capsys.readouterr()
+    ranked.explain()
+    plan = capsys.readouterr().out
+    assert "exports-" in plan and "rangepartitioning" not in plan and "ExistingRDD" not in plan
+
+
 def test_rows_without_a_date_need_no_filter_below_the_facts(rows, capsys):
     fact = rows("k string, day string, v int", ("a", "2020-01-06", 1), ("a", None, 5), ("b", None, 7)).repartition(2)
     dated = fact.withColumn("day", parse_dates("day"))
