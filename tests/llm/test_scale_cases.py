@@ -67,6 +67,25 @@ def test_near_passages_are_found(documents):
     assert found <= set(pairs)
 
 
+def test_links_of_a_settled_passage_are_found(documents):
+    """Two passages differ by an edit from a third each and by both edits, so below 0.8, from each other."""
+    rng = random.Random(5)
+    rows, pairs = [], set()
+    for k in range(300):
+        middle = fresh(rng, 60)
+        for j, at in enumerate((None, rng.randrange(20, 25), rng.randrange(36, 41))):
+            mine = list(middle)
+            if at is not None:
+                mine[at] = fresh(rng, 1)[0]
+            rows.append((3 * k + j, " ".join([*fresh(rng, 30), *mine, *fresh(rng, 30)])))
+        pairs |= {(3 * k, 3 * k + 1), (3 * k, 3 * k + 2)}
+    docs = documents(*rows)
+    ids = {r["th"]: r["doc_id"] for r in docs.select(substring_dedup.names(docs)[0].alias("th"), "doc_id").collect()}
+    found = {tuple(sorted((ids[r["th"]], ids[r["other_th"]]))) for r in substring_dedup.repeats(docs).collect()}
+    assert len(found & pairs) >= 0.96 * len(pairs)
+    assert found <= pairs
+
+
 # ---- vectors
 
 def test_rounds_go_on_until_clustered_vectors_are_united(spark):
