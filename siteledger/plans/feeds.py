@@ -47,15 +47,21 @@ def _clock(day: Column, hour: Column, minute: Column, second: Column, micro: Col
         .otherwise(F.concat(date, F.lit(" "), clock))
 
 
-def ticket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _exports(spark: SparkSession, sf_dir: str, heads: DataFrame | None) -> DataFrame:
+    """Raw lines, of the tickets of ``heads`` only if given: the ticket is part of a line's key, so others can go before all else."""
+    lines = b.table(spark, sf_dir, "lineitem")
+    return lines if heads is None else lines.join(heads.select(F.col("ticket").alias("l_orderkey")), "l_orderkey", "left_semi")
+
+
+def ticket_lines(spark: SparkSession, sf_dir: str, heads: DataFrame | None = None) -> DataFrame:
     """Every export of every line, copies included."""
-    lines = b.table(spark, sf_dir, "lineitem").select(
+    lines = _exports(spark, sf_dir, heads).select(
         F.col("l_orderkey").alias("ticket"), "l_linenumber", F.col("l_partkey").alias("part"),
         "l_suppkey", F.col("l_quantity").cast("int").alias("pieces"), "l_discount", "l_shipdate",
         b.state_of().alias("state"))
     names = b.raw_names(spark, sf_dir).select("part", "keyed_name") \
         .join(b.parts(spark, sf_dir).select("part", "price"), "part")
-    heads = coded_headers(spark, sf_dir).select("ticket", "day", "location_code")
+    heads = (coded_headers(spark, sf_dir) if heads is None else heads).select("ticket", "day", "location_code")
     rows = lines.join(names, "part").join(heads, "ticket")
     ticket = F.col("ticket")
     discount = F.col("pieces") * F.col("price") * F.col("l_discount").cast(b.RATE)
@@ -98,15 +104,15 @@ def menu_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         cost.alias("theoretical_unit_cost"))
 
 
-def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def invoice_lines(spark: SparkSession, sf_dir: str, heads: DataFrame | None = None) -> DataFrame:
     """One invoice per order; of the copies of a line the newest one counts."""
     worth = F.col("l_extendedprice").cast(b.MONEY)
-    newest = keep_latest(b.table(spark, sf_dir, "lineitem"), b.LINE_KEY, b.NEWEST, b.TIE_BREAK)
+    newest = keep_latest(_exports(spark, sf_dir, heads), b.LINE_KEY, b.NEWEST, b.TIE_BREAK)
     lines = newest.select(
         F.col("l_orderkey").alias("ticket"), "l_linenumber", F.col("l_quantity").cast("int").alias("qty"),
         worth.alias("worth"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supplier"))
     names = b.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("supplier"), "s_name")
-    heads = coded_headers(spark, sf_dir).select("ticket", "day", "location_code")
+    heads = (coded_headers(spark, sf_dir) if heads is None else heads).select("ticket", "day", "location_code")
     ext = (F.col("worth") * F.lit("0.1").cast("decimal(2,1)")).cast(b.MONEY)
     rows = lines.withColumn("ext", ext).join(names, "supplier").join(heads, "ticket")
     cost = F.round(F.col("ext") / F.col("qty"), 4)
@@ -129,11 +135,11 @@ def vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("s_name").alias("vendor_name"), F.col("unit").alias("vendor_category"))
 
 
-def labor(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labor(spark: SparkSession, sf_dir: str, heads: DataFrame | None = None) -> DataFrame:
     """One payroll row per order, roles in drifting spellings."""
     role = _pick(ROLES, F.substring("priority", 1, 1).cast("int") - 1)
     wages = F.col("order_value") * F.lit("0.01").cast("decimal(3,2)")
-    return coded_headers(spark, sf_dir).select(
+    return (coded_headers(spark, sf_dir) if heads is None else heads).select(
         F.col("day").cast("string").alias("business_date"), "location_code",
         label_text(role, F.col("ticket")).alias("role"),
         _text((F.col("ticket") % 80).cast("decimal(6,2)") / 10, "decimal(6,1)").alias("hours"),
@@ -185,14 +191,19 @@ FEEDS = {
 }
 
 
+# Feeds that can be rendered for some tickets only.
+BY_TICKET = ("pos_ticket_lines", "ap_invoice_lines", "labor_daily")
+
+
 class RenderedFeeds(Mapping):
-    """The feeds by name, each frame made when it is asked for."""
+    """The feeds by name, each frame made when it is asked for; those of ``BY_TICKET`` for the tickets of ``heads`` only if given."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, heads: DataFrame | None = None):
+        self._spark, self._sf_dir, self._heads = spark, sf_dir, heads
 
     def __getitem__(self, name: str) -> DataFrame:
-        return FEEDS[name](self._spark, self._sf_dir).select(*RAW_FEEDS[name])
+        heads = [self._heads] if name in BY_TICKET else []
+        return FEEDS[name](self._spark, self._sf_dir, *heads).select(*RAW_FEEDS[name])
 
     def __iter__(self):
         return iter(FEEDS)

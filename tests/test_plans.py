@@ -91,3 +91,10 @@ def test_other_tickets_lines_go_before_copies_are_ranked(spark, name):
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     # The rank filter stands above the semi-join with the restricted headers.
     assert 0 <= plan.find("row_number()") < plan.find("Join LeftSemi")
+
+
+@pytest.mark.parametrize("name", ["m_a12a_cost_bridge", "m_a10b_ratio_in_windows"])
+def test_mart_questions_on_windows_render_their_tickets_only(spark, name):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    # In both facts made of lines the rank filter stands above the semi-join with the tickets of the windows.
+    assert plan.count("Join LeftSemi") >= 2 and 0 <= plan.find("row_number()") < plan.find("Join LeftSemi")
