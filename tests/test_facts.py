@@ -134,6 +134,23 @@ def test_declared_checks_scan_each_table_once(spark, rows, folder):
     assert dict(values(found))["reference fact.dim"] == 1
 
 
+def test_declared_keys_are_compared_as_numbers_where_they_are(rows):
+    tables = {"day": rows("d string, n bigint, v string", ("2001-01-01", 1, "1"), ("2001-01-02", 2, "02"), (None, None, None))
+              .selectExpr("cast(d as date) as d", "n", "v"),
+              "fact": rows("d string, k smallint, m int, w string", ("2001-01-01", 1, 2, "x"), ("2001-01-03", 1, None, "x"), (None, None, 7, None),
+                           (None, None, 7, None)).selectExpr("cast(d as date) as d", "k", "m", "w")}
+    rules = {f"rule {i}": f"m <> {i}" for i in range(70)}
+    declared = {"day": Declared(keys=[["d", "n"]], unique=["d"]), "fact": Declared(
+        keys=[["d", "k", "m"], ["w", "k"]], unique=["k"], references={"d": ("day", "d"), "k": ("day", "n"), "m": ("day", "v")}, true=rules)}
+    found = check_all(tables, declared)
+    got = dict(values(found))
+    assert {n: v for n, v in got.items() if v} == {
+        "grain fact": 1, "grain fact 2": 2, "unique fact.k": 1, "reference fact.d": 1, "reference fact.m": 3, "rule 2": 1, "rule 7": 2}
+    assert len(got) == 8 + 70
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"cast\([kdn]#\d+ as string\)", plan) and re.search(r"cast\(m#\d+ as string\)", plan)
+
+
 # ---- layout ----
 
 def test_a_bucketed_fact_rolls_up_without_a_shuffle(spark, folder):
