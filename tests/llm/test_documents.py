@@ -1,6 +1,7 @@
 """Operators on documents: odd input, and results against brute force."""
 
 import itertools
+import math
 import random
 import re
 import zlib
@@ -443,6 +444,38 @@ def test_best_segmentations_match_enumeration():
         assert [s for s, _ in made.encode(text)] == [s for s, _ in want]
 
 
+def test_new_chunks_are_searched_together_and_few_again(monkeypatch):
+    made = sentencepiece_nbest.Encoder("piece_bpe_32k.model", 3)
+    rng, single = random.Random(5), made.pieces.best
+    chunks = [" " + "".join(rng.choice("etaoinshrdluéB漢\U00012000 .\n\t") for _ in range(rng.randint(1, 12))) for _ in range(500)]
+    chunks += [" " + "the" * 40, " ", "B" * 9]
+    found = made.pieces.best_of_many(chunks)
+    assert sum(f is not None for f in found) > 200
+    for chunk, some in zip(chunks, found, strict=True):
+        ranked = single(chunk, 2)
+        if some is not None:
+            ids, loss, score = some
+            assert (np.frombuffer(ids, "<i4").tolist(), score) == (list(ranked[0][1]), ranked[0][0])
+            assert loss == (ranked[0][0] - ranked[1][0] if len(ranked) > 1 else math.inf)
+    calls = []
+    monkeypatch.setattr(made.pieces, "best", lambda *a: calls.append(a) or single(*a))
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(9)) for _ in range(4000)]
+    texts = [" ".join(words[k:k + 400]) for k in range(0, 4000, 400)] + [None, "", "x", "漢字 𒀀"]
+    together = list(made.encode_all(texts))
+    assert len(calls) < 400
+    fresh = sentencepiece_nbest.Encoder("piece_bpe_32k.model", 3)
+    assert together == [fresh.encode(text) for text in texts]
+
+
+def test_decode_spreads_odd_ids(spark):
+    rows = [(0, None), (1, []), (2, [5]), (3, [260, 3, 200]), (4, [200, 201] * 3), (5, None)]
+    encoded = spark.createDataFrame(rows, "k int, ids array<int>").coalesce(1)
+    shown = sentencepiece_nbest.Pieces("piece_bpe_32k.model").shown
+    for row in sentencepiece_nbest.decode(encoded).collect():
+        raw = None if row["ids"] is None else b"".join(shown[i] for i in row["ids"])
+        assert row["text"] == (None if raw is None else (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace"))
+
+
 def test_a_long_run_of_one_letter_has_ties_without_end():
     made = sentencepiece_nbest.Encoder("piece_bpe_32k.model", 3)
     assert len({ids for _, ids in made.encode("B" * 20_000)}) == 3
