@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from .workers import held
+from .workers import free, held
 
 END = 1
 CAPACITY = 2048
@@ -35,7 +35,8 @@ PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xff]*")
 class Encoder:
     """A vocabulary with the ids of words seen so far (little-endian 32-bit); emptied when full."""
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, cache_words: int = CACHE_WORDS):
+        self.cache_words = cache_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.path = public_tokenizers.path(vocabulary)
         with open(self.path, encoding="utf-8") as file:
@@ -55,7 +56,7 @@ class Encoder:
         return Tokenizer.from_file(self.path)
 
     def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
+        if len(self.known) + len(words) > self.cache_words:
             self.known.clear()
         unknown = list(words.difference(self.known))
         for word, found in zip(unknown, self.of_word.encode_batch_fast(unknown, add_special_tokens=False),
@@ -82,9 +83,9 @@ class Encoder:
                     yield b"".join(map(self.known.__getitem__, words))
 
 
-def encoder(vocabulary: str) -> Encoder:
+def encoder(vocabulary: str, cache_words: int = CACHE_WORDS) -> Encoder:
     """The worker's encoder for a vocabulary file, kept over tasks until another operator frees it."""
-    return held(("packing", vocabulary), lambda: Encoder(vocabulary))
+    return held(("packing", vocabulary, cache_words), lambda: Encoder(vocabulary, cache_words))
 
 
 def cost(tokens: int) -> float:
@@ -150,7 +151,8 @@ def _packed(ids: list[bytes], doc_ids: pa.Array, first: int, capacity: int) -> t
 
 
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
-         vocabulary: str = "word_bpe_49k.json", buffer_tokens: int = BUFFER_TOKENS) -> DataFrame:
+         vocabulary: str = "word_bpe_49k.json", buffer_tokens: int = BUFFER_TOKENS, cache_words: int = CACHE_WORDS,
+         release: bool = False) -> DataFrame:
     """Pieces (doc_id, start, length, ids, doc_tokens, sequence_id, offset).
 
     ``ids`` are little-endian unsigned 32-bit token ids; a document's ids end with END.  Every id
@@ -158,7 +160,8 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity:
     rows in buffers of about ``buffer_tokens``, so nothing is shuffled, one source or group of copies
     weighs on no task, and memory is bounded by the buffer and one document.  sequence_id
     holds the partition in its upper 31 bits and a count in the lower 32: unique, and the same when
-    a task is run again.
+    a task is run again.  ``cache_words`` bounds the words whose ids a worker remembers; with ``release`` it forgets them and
+    the vocabulary after each task, for jobs whose other stages left idle workers, which take turns.
 
     Null and empty texts have the one id END.  Rows with equal or null ids are packed each as
     a document of its own.  No rows give no pieces; other columns are not looked at.
@@ -178,7 +181,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity:
 
         for batch in batches:
             id_type = batch.column("doc_id").type
-            given = zip(batch.column("doc_id"), encoder(vocabulary).encode(batch.column("text").to_pylist()), strict=True)
+            given = zip(batch.column("doc_id"), encoder(vocabulary, cache_words).encode(batch.column("text").to_pylist()), strict=True)
             for name, found in given:
                 ids.append(found + end)
                 names.append(name.as_py())
@@ -187,6 +190,8 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity:
                     yield flush()
         if ids:
             yield flush()
+        if release:
+            free()
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         run, f"doc_id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, "

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siteledger.llm import exact_dedup, language_id, minhash_dedup, packing, sentencepiece_nbest, substring_dedup, \
-    textnum, toxicity
+    textnum, toxicity, workers
 from siteledger.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -444,6 +444,27 @@ def test_best_segmentations_match_enumeration():
         assert [s for s, _ in made.encode(text)] == [s for s, _ in want]
 
 
+def test_packing_lets_go_of_its_words_after_a_task_when_told(spark, odd_documents):
+    docs, words = odd_documents.where("doc_id is not null").select("doc_id", "text").distinct().repartition(4, "doc_id"), 77_777
+    key = ["doc_id", "start", "ids", "sequence_id", "offset"]
+
+    def holding(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([sum(words in name for name in workers._held)], pa.int32())})
+
+    def packed(**how):
+        rows = packing.pack(docs, cache_words=words, **how).select(*key).collect()
+        return rows, sum(r["n"] for r in spark.range(0, 64, 1, 16).mapInArrow(holding, "n int").collect())
+
+    kept, n = packed()
+    assert n > 0
+    released, n = packed(release=True)
+    assert sorted(released, key=str) == sorted(kept, key=str)
+    assert n == 0
+    small = packing.Encoder("word_bpe_49k.json", 3)
+    assert list(small.encode(["a b c d", "a b"])) == list(packing.Encoder("word_bpe_49k.json").encode(["a b c d", "a b"]))
+
+
 def test_new_chunks_are_searched_together_and_few_again(monkeypatch):
     made = sentencepiece_nbest.Encoder("piece_bpe_32k.model", 3)
     rng, single = random.Random(5), made.pieces.best
