@@ -1,8 +1,10 @@
 """Cases that only large or dirty tables have: clashing names, many repeated rows, clustered vectors, odd samples."""
 
+import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,6 +88,46 @@ def test_links_of_a_settled_passage_are_found(documents):
     assert found <= pairs
 
 
+def test_passages_are_moved_as_words_and_never_written(documents, monkeypatch):
+    """What is written between the steps are places and hashes; links and cuts come from words that go to their piece once."""
+    rng = random.Random(8)
+    passages = [fresh(rng, 300) for _ in range(6)]
+    rows = [(i, " ".join([*fresh(rng, 20), *passages[i % 6], *fresh(rng, 20)])) for i in range(150)]
+    written, keep = {}, substring_dedup.keep
+
+    def recorded(df, label):
+        out = keep(df, label)
+        size = sum(os.path.getsize(f.removeprefix("file://").removeprefix("file:")) for f in out.inputFiles())
+        written[label] = max(written.get(label, 0), size)
+        assert "binary" not in {kind for _, kind in out.dtypes} and "array<binary>" not in {kind for _, kind in out.dtypes}, label
+        return out
+
+    monkeypatch.setattr(substring_dedup, "keep", recorded)
+    docs = documents(*rows)
+    found = {r["th"] for r in substring_dedup.repeats(docs).collect()}
+    assert len(found) == 144
+    assert max(size for label, size in written.items() if label != "windows") < sum(len(t) for _, t in rows) / 4
+    kept = [r["text"] for r in substring_dedup.drop_repeats(docs).collect()]
+    assert all(sum(" ".join(p) in t for t in kept) == 1 for p in passages)
+
+
+def test_passages_of_an_area_and_their_likeness():
+    """Areas of short, long, odd and empty-ended texts: words as they stand there, equal hashes for equal shingles only."""
+    rng = random.Random(9)
+    words = fresh(rng, 400)
+    texts = ["  " + " \t".join(words), "\u00fc \u00df " + " ".join(words[100:300]).upper() + " \n", "a b c d e"]
+    areas = [[(100, 250, 1), (0, 395, 2), (100, 250, 3), (3, 3, 4)], [(2, 152, 5), (0, 0, 6)], [(0, 0, 7)]]
+    kind = pa.list_(pa.struct([("x", pa.int64()), ("y", pa.int64()), ("p", pa.int64())]))
+    wanted = pa.array([[dict(zip("xyp", a)) for a in of] for of in areas], kind)
+    batch = pa.RecordBatch.from_arrays([pa.array([11, 12, 13]), pa.array(texts), wanted], ["th", "text", "wanted"])
+    rows = pa.Table.from_batches(list(substring_dedup._pasted(["x", "y", "p"])([batch]))).to_pylist()
+    assert [(r["th"], r["x"], r["y"], r["p"]) for r in rows] == [(11 + k, *a) for k, of in enumerate(areas) for a in of]
+    for r in rows:
+        assert r["words"].decode().split() == texts[r["th"] - 11].split()[r["x"]:r["y"] + 5]
+    same = [v for of in substring_dedup._likeness().func(batch.column("text"), wanted).to_pylist() for v in of]
+    assert same[0] == same[2] == same[4] and len(set(same)) == 5
+
+
 # ---- vectors
 
 def test_rounds_go_on_until_clustered_vectors_are_united(spark):
