@@ -170,10 +170,13 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", widt
 
 def _shared_buckets(buckets: DataFrame) -> DataFrame:
     """Rows of the buckets with two or more members, with the bucket's hub: its member of least id,
-    a random one.  Only these rows are looked at from here on."""
+    a random one.  Only these rows are looked at from here on.
+
+    Spark sizes the buckets by the nodes' file, as if a list of bands were one band, and would broadcast them: they are merged.
+    """
     hubs = buckets.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("m")) \
         .where("m > 1").select("bucket", "hub")
-    return buckets.join(hubs, "bucket")
+    return buckets.join(hubs.hint("merge"), "bucket")
 
 
 def _sets_of(shared: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
@@ -292,7 +295,8 @@ def _other_pairs(opened: DataFrame, nodes: DataFrame, sets: DataFrame, percent:
         .withColumn("i", F.explode(F.sequence(F.lit(0), blocks("minor") - 1)))
     columns = ["id", "root", "bucket", F.xxhash64("bucket", "i", "j").alias("g")]
     both = asking.select(F.lit(True).alias("asks"), *columns).unionAll(asked.select(F.lit(False).alias("asks"), *columns))
-    placed = both.join(carried, "id").repartition("g").sortWithinPartitions("g")
+    # A member goes to all blocks of the other side, which Spark's size of the members leaves out.
+    placed = both.join(carried.hint("merge"), "id").repartition("g").sortWithinPartitions("g")
     return placed.mapInArrow(_join_components(percent, bands, rows), "a_id bigint, b_id bigint").distinct()
 
 

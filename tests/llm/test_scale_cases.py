@@ -9,13 +9,29 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from siteledger.llm import chat_format, embedding_dedup, language_id, substring_dedup, toxicity
+from siteledger.llm import chat_format, embedding_dedup, language_id, minhash_dedup, substring_dedup, toxicity
 
 
 def fresh(rng, n):
     return [f"u{rng.randrange(10**9)}" for _ in range(n)]
 
 
+# ---- near copies
+
+def test_what_an_explode_makes_is_not_broadcast(spark):
+    """Spark sizes a list's rows as if they were one, so by these sizes a table of 40 bands a node would go to the driver."""
+    nodes = spark.range(0, 500, 1, 4).select("id", F.sequence(F.lit(0), F.lit(39)).alias("bands"))
+    shared = minhash_dedup._shared_buckets(nodes.select(F.explode("bands").alias("bucket"), "id"))
+    opened = shared.select("bucket", "id", F.col("id").alias("root"), (F.col("id") == 1).alias("main"),
+                           F.lit(499).alias("members"), F.lit(498).alias("minor"))
+    marks = spark.range(500).select("id", F.lit(bytes(240)).alias("slots"))
+    pairs = minhash_dedup._other_pairs(opened, marks, marks.select("id", F.lit(bytes(8)).alias("items")), 80, 40, 6)
+    for frame, measured in ((shared, 0), (pairs, 1)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == measured
+    assert shared.where("hub = 0").count() == 40 * 500
+
+
 # ---- repeated passages
 
 def test_many_repeated_rows_are_one_text(documents):
