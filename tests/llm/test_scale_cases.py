@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from siteledger.llm import chat_format, embedding_dedup, language_id, minhash_dedup, substring_dedup, toxicity
+from siteledger.llm import chat_format, embedding_dedup, language_id, minhash_dedup, queries, substring_dedup, toxicity
 
 
 def fresh(rng, n):
@@ -127,6 +127,78 @@ def test_passages_are_moved_as_words_and_never_written(documents, monkeypatch):
     assert all(sum(" ".join(p) in t for t in kept) == 1 for p in passages)
 
 
+def test_windows_that_make_no_group_make_no_pairs(documents, monkeypatch):
+    """Copies of one passage lead to one place: no window is left for pairs, nor are rows named twice."""
+    rng = random.Random(11)
+    passage = fresh(rng, 70)
+    docs = documents(*[(i, " ".join([*fresh(rng, 30 + i), *passage, *fresh(rng, 30)])) for i in range(6)])
+    rows, real = {}, substring_dedup.keep
+
+    def keep(df, label):
+        kept = real(df, label)
+        rows.setdefault(label, []).append(kept.count())
+        return kept
+
+    monkeypatch.setattr(substring_dedup, "keep", keep)
+    monkeypatch.setattr(queries, "table", lambda spark, sf_dir, name: docs)
+    found = queries.op8_substring_dedup(docs.sparkSession, "").collect()
+    assert len(found) == 5 and all(r["end"] - r["start"] >= 70 for r in found)
+    assert rows["shared-windows"][0] >= 24 and rows["window-pairs"] == rows["chain-pairs"] == [0]
+    assert len(rows["names"]) == 1
+
+
+def test_near_passages_equal_those_of_every_run_compared():
+    """By sums that settle most pairs, and without them; texts repeat themselves and each other, with edits."""
+    rng = np.random.default_rng(12)
+
+    def every_run(a, b, least, percent):
+        place = {}
+        for j, v in enumerate(b.tolist()):
+            place.setdefault(v, j)
+        hit = [i for i, v in enumerate(a.tolist()) if v in place]
+        first = [place[int(a[i])] for i in hit]
+        both = [first]
+        if len(place) < len(b):
+            both.append(substring_dedup._aligned(a, b, np.array(hit, int), np.array(first, int)).tolist())
+        found = []
+        cuts = [0, *[k for k in range(1, len(hit)) if hit[k] - hit[k - 1] > substring_dedup.GAP + 1], len(hit)]
+        open_ = list(zip(cuts, cuts[1:]))
+        while open_:
+            s, e = open_.pop()
+            if s == e or hit[e - 1] - hit[s] + 1 < least:
+                continue
+            own = set(a[hit[s]:hit[e - 1] + 1].tolist())
+            for places in both:
+                shift = int(np.median([places[k] - hit[k] for k in range(s, e)]))
+                low, high = max(0, hit[s] + shift - substring_dedup.GAP), min(len(b) - 1, hit[e - 1] + shift + substring_dedup.GAP)
+                near = [j for j in range(low, high + 1) if b[j] in own]
+                if near and 100 * len(own & (other := set(b[near[0]:near[-1] + 1].tolist()))) >= percent * len(own | other):
+                    found.append((hit[s], hit[e - 1], near[0], near[-1]))
+                    break
+            else:
+                gaps = [hit[k] - hit[k - 1] for k in range(s + 1, e)]
+                if gaps:
+                    widest = s + 1 + gaps.index(max(gaps))
+                    open_ += [(s, widest), (widest, e)]
+        return found
+
+    some = 0
+    for k in range(400):
+        words_of = int(rng.choice([30, 400, 10**6]))
+        a = rng.integers(0, words_of, int(rng.integers(1, 90))).astype(np.uint64)
+        b = np.concatenate([rng.integers(0, words_of, int(rng.integers(0, 9))).astype(np.uint64), a[rng.random(len(a)) < rng.choice([0.8, 0.95, 1])]])
+        edits = rng.random(len(b)) < rng.choice([0, 0.05, 0.2])
+        b[edits] = rng.integers(0, 10**9, int(edits.sum()))
+        least, percent = int(rng.choice([1, 5, 20])), int(rng.choice([50, 80, 100]))
+        want = every_run(a, b, least, percent)
+        some += bool(want)
+        assert substring_dedup.near_passages(a, b, least, percent) == want
+        if len(b):
+            facts = substring_dedup._first_there(a), b.argsort(kind="stable")
+            assert substring_dedup.near_passages(a, b, least, percent, *facts) == want
+    assert 100 < some < 390
+
+
 def test_passages_of_an_area_and_their_likeness():
     """Areas of short, long, odd and empty-ended texts: words as they stand there, equal hashes for equal shingles only."""
     rng = random.Random(9)
